@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The daily aggregation policy of the transaction tables.
 DAILY_POLICY: dict[str, str] = {
@@ -49,9 +50,17 @@ def agg_any(c: str) -> Column:
     return F.coalesce(F.bool_or(F.col(c)), F.lit(False))
 
 
-def agg_mode_first(c: str) -> Column:
-    """Most frequent non-null value; ties resolve to the smallest value."""
-    return F.mode(F.col(c), deterministic=True)
+def agg_mode_first(c: str, dtype: T.DataType | None = None) -> Column:
+    """Most frequent non-null value; ties resolve to the smallest value.
+
+    Booleans use two counters (declarative, hash-aggregate friendly: no
+    per-group map); other types use the built-in deterministic ``mode``.
+    """
+    col = F.col(c)
+    if isinstance(dtype, T.BooleanType):
+        n_true, n_false = F.count_if(col), F.count_if(~col)
+        return F.when(n_true > n_false, F.lit(True)).when(n_false > 0, F.lit(False))
+    return F.mode(col, deterministic=True)
 
 
 def agg_mean(c: str, exact_scale: int | None = None) -> Column:
@@ -64,12 +73,15 @@ def agg_mean(c: str, exact_scale: int | None = None) -> Column:
 
 
 def build_policy(policy: Mapping[str, str], *, order: Sequence[str],
-                 mean_scale: int | None = None) -> dict[str, Callable[[str], Column]]:
+                 mean_scale: int | None = None,
+                 types: Mapping[str, T.DataType] | None = None
+                 ) -> dict[str, Callable[[str], Column]]:
+    types = types or {}
     ops: dict[str, Callable[[str], Column]] = {
         "first": lambda c: agg_first(c, order),
         "sum": agg_sum,
         "any": agg_any,
-        "mode_first": agg_mode_first,
+        "mode_first": lambda c: agg_mode_first(c, types.get(c)),
         "mean": lambda c: agg_mean(c, mean_scale),
     }
     unknown = {op for op in policy.values() if op not in ops}
@@ -89,7 +101,8 @@ def policy_aggregate(df: DataFrame, policy: Mapping[str, str] = DAILY_POLICY, *,
     """
     present = {c: op for c, op in policy.items() if c in df.columns and c not in keys}
     builders = build_policy(present, order=[o for o in order if o in df.columns],
-                            mean_scale=mean_scale)
+                            mean_scale=mean_scale,
+                            types={f.name: f.dataType for f in df.schema.fields})
     keyed = df.where(_all_not_null(keys))
     return keyed.groupBy(*keys).agg(*[fn(c).alias(c) for c, fn in builders.items()])
 

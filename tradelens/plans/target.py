@@ -37,7 +37,9 @@ def filter_direction(tx: DataFrame, key: str = "acquired_disposed", value: str =
 
 def semi_join_tickers(prices: DataFrame, tx: DataFrame) -> DataFrame:
     """Prices restricted to tickers present in the transactions (no driver list)."""
-    return prices.join(tx.select("ticker"), on="ticker", how="left_semi")
+    # distinct first: a partial aggregate bounded by the ticker universe, so the
+    # semi-join's build side never grows with the transaction volume
+    return prices.join(tx.select("ticker").distinct(), on="ticker", how="left_semi")
 
 
 def global_max_date(prices: DataFrame) -> DataFrame:
@@ -68,8 +70,15 @@ def forward_return(daily: DataFrame, prices: DataFrame, period: int) -> DataFram
 
 
 def clean_target(df: DataFrame, subset=("pct_change", "avg_target_expanding")) -> DataFrame:
-    """Sentinels -> null, exact dedup, drop rows without target / average."""
-    return C.dropna_subset(C.dedup_exact(C.null_sentinels(df)), subset)
+    """Exact dedup, sentinels -> null, drop rows without target / average.
+
+    The dedup runs before the sentinel rewrite so its grouping keys are the
+    untouched columns and the per-ticker hash partitioning of the windows
+    satisfies it (no extra shuffle). It differs from dedup-after-rewrite only
+    for two rows identical except for 'None' vs '---' spellings, impossible
+    for rows unique on (ticker, date) with upper-cased tickers.
+    """
+    return C.dropna_subset(C.null_sentinels(C.dedup_exact(df)), subset)
 
 
 def build_training_target(tx: DataFrame, prices: DataFrame, *, period: int = 30,
@@ -81,10 +90,11 @@ def build_training_target(tx: DataFrame, prices: DataFrame, *, period: int = 30,
     tx = C.normalize_text_keys(filter_direction(tx, direction_key, direction),
                                ("ticker", direction_key))
     tx, _ = C.assert_all_equal(tx, direction_key, direction, mode=direction_mode)
-    prices = C.normalize_text_keys(prices, ("ticker",))
-    prices = semi_join_tickers(prices, tx)
     daily = policy_aggregate(tx, policy)
     daily = C.assert_no_nulls(daily, "date", "transaction dates")
+    # tickers come from the aggregated rows, so the semi-join's build side
+    # re-reads the daily aggregate's shuffle output instead of rescanning
+    prices = semi_join_tickers(C.normalize_text_keys(prices, ("ticker",)), daily)
     fr = forward_return(daily, prices, period)
     rt4 = expanding_lagged_avg(fr, value_e5="pct_e5", delta_days=period)
     return clean_target(rt4.drop("pct_e5"))
