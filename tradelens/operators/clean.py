@@ -57,7 +57,7 @@ def cast_numeric_or_reject(df: DataFrame, casts: dict[str, str]) -> DataFrame:
     """
     out = {}
     for c, typ in casts.items():
-        as_double = F.try_cast(F.trim(F.col(c).cast("string")), "double")
+        as_double = F.trim(F.col(c).cast("string")).try_cast("double")
         ok = as_double.isNotNull() & ~F.isnan(as_double)
         if typ in INT_RANGE:
             lo, hi = INT_RANGE[typ]
