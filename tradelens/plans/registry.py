@@ -31,6 +31,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from . import (  # noqa: F401
+        q_clean,
         q_filings,
         q_target,
     )
