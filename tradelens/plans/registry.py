@@ -33,5 +33,6 @@ def load_all() -> None:
     from . import (  # noqa: F401
         q_clean,
         q_filings,
+        q_sources,
         q_target,
     )
