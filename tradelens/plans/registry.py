@@ -32,6 +32,7 @@ def load_all() -> None:
     """Import the modules that register queries."""
     from . import (  # noqa: F401
         q_clean,
+        q_enrich,
         q_filings,
         q_sources,
         q_target,
