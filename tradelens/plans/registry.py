@@ -34,6 +34,7 @@ def load_all() -> None:
         q_clean,
         q_enrich,
         q_filings,
+        q_ml,
         q_sources,
         q_target,
     )
