@@ -36,5 +36,6 @@ def load_all() -> None:
         q_filings,
         q_ml,
         q_sources,
+        q_stream,
         q_target,
     )
