@@ -112,3 +112,36 @@ def q_strip_prefix(spark, sf):
                     F.col("o_orderkey").cast("string"), F.lit(".txt"))
     p = o.select(S.strip_prefix(href).alias("path")).distinct()
     return p.withColumn("url", S.add_base_url("path", X.ARCHIVE_BASE))
+
+
+_INGEST_SQL = with_ctes(
+    "select * exclude (rn) from (select *, row_number() over (partition by key order by date desc, "
+    "shares desc, price desc) as rn from (select link, upper(trim(ticker)) as ticker, derivative, "
+    "trunc(shares::double)::integer as shares, price::double as price, "
+    "(remaining_shares::double)::integer as remaining_shares, date::date as date, "
+    "epoch_ms(date::date::timestamp) as timestamp, sha256(concat(link, remaining_shares, "
+    "case when derivative then '1' else '0' end)) as key from parsed "
+    "where o_orderpriority in ('1-URGENT', '2-HIGH'))) where rn = 1", **_P)
+
+
+@register("ingest_filings", _INGEST_SQL)
+def q_ingest_filings(spark, sf):
+    """index -> form-4 filter -> filing text -> parse -> explode -> key and
+    timestamp -> typing / rejects -> upsert by key (latest event time)."""
+    from ..operators import clean as C
+    from ..sources import master_index as MI
+    from ..sources.catalog import latest_by_key
+    from .index_docs import index_lines
+    index = MI.filter_form_type(MI.parse_index_lines(index_lines(spark, sf)), "4")
+    texts = filing_texts(spark, sf).join(index.select("file_path"), "file_path", "left_semi")
+    tx = X.with_message_fields(X.explode_transactions(X.parse_filings(texts)))
+    typed = C.cast_numeric_or_reject(tx, {"shares": "int", "price": "double",
+                                          "remaining_shares": "int"})
+    typed = C.cast_date_or_reject(C.normalize_text_keys(typed, ("ticker",)), "date")
+    # The composite key is not unique inside a filing (two nodes with the same
+    # link, remaining shares and branch): the upsert keeps one of them, the
+    # latest date, then the larger shares / price, so the survivor is
+    # deterministic.
+    stored = latest_by_key(typed, ("key",), "date", order_extra=("shares", "price"))
+    return stored.select("link", "ticker", "derivative", "shares", "price", "remaining_shares",
+                         "date", "timestamp", "key")
