@@ -161,22 +161,32 @@ def q_stream_drain_to_table(spark, sf):
     path, schema = _landed_messages(spark, sf, run)
     table = os.path.join(run, "table")
     spec = TableSpec("user_state", 1, ("user_id",), "date")
-    state = {"snap": None}
+
+    def previous(batch_id):
+        """Newest snapshot written by an earlier batch, found in the table
+        folder itself (so a restarted query picks up where it stopped)."""
+        try:
+            snaps = spark.read.parquet(table).where(F.col("snapshot") < batch_id)
+        except Exception:  # noqa: BLE001 - no snapshot written yet
+            return None
+        last = snaps.agg(F.max("snapshot")).first()[0]
+        return None if last is None else snaps.where(F.col("snapshot") == last).drop("snapshot")
 
     def sink(batch, batch_id):
         clean = latest_by_key(_store_clean(batch), spec.primary_key, spec.event_time,
                               order_extra=("key",))
-        if state["snap"] is not None:
-            clean = spark.read.parquet(state["snap"]).unionByName(clean)
+        prev = previous(batch_id)
+        if prev is not None:
+            clean = prev.unionByName(clean)
         # latest date per user; equal dates fall back to the key, in and
         # across batches
         merged = latest_by_key(clean, spec.primary_key, spec.event_time, order_extra=("key",))
-        snap = os.path.join(table, f"snapshot={batch_id}")
-        merged.write.mode("overwrite").parquet(snap)
-        state["snap"] = snap
+        merged.write.mode("overwrite").parquet(os.path.join(table, f"snapshot={batch_id}"))
 
     ST.drain(_stream(spark, path, schema), sink, os.path.join(run, "ckpt"))
-    return spark.read.parquet(state["snap"])
+    snaps = spark.read.parquet(table)
+    last = snaps.agg(F.max("snapshot")).first()[0]
+    return snaps.where(F.col("snapshot") == last).drop("snapshot")
 
 
 @register("stream_parse_filings", with_ctes(
