@@ -84,36 +84,48 @@ def _xml_cut(r: Column) -> Column:
 
 
 def _xml_pick(r: Column, body: Column) -> Column:
-    """``body`` when it is a document (declaration first), else the regex."""
+    """``body`` when it is a document (declaration first), else the regex.
+
+    Each expensive input appears once, so subexpression elimination can not
+    hoist the regex out of its branch: it only runs when the cut fails. An
+    empty regex result parses to an all-null struct and is dropped later.
+    """
     has_tags = (F.instr(r, "<XML>") > 0) & (F.instr(r, "</XML>") > 0)
     # "<?xml" + at least one character that is not '>' + a closing '>'
     declared = (body.startswith("<?xml") & (F.substring(body, 6, 1) != ">")
                 & (F.instr(body, ">") > 6))
-    slow = F.regexp_extract(r, XML_BLOCK, 1)
-    return F.coalesce(F.when(has_tags & declared, body), F.when(has_tags & (slow != ""), slow))
+    return F.when(has_tags & declared, body).when(has_tags, F.regexp_extract(r, XML_BLOCK, 1))
 
 
 def embedded_xml(raw: Column | str) -> Column:
-    """The XML document inside a filing; NULL when there is none.
+    """The XML document inside a filing ('' or NULL when there is none).
 
     Same result as ``XML_BLOCK``'s first match. The common case (one block)
     is cut out with ``substring_index`` byte searches, several times faster
     than the lazy regex on multi-kilobyte texts; the regex only runs when the
-    cut does not yield a document although the text holds both tags.
+    cut does not yield a document although the text holds both tags. Prefer
+    ``with_xml`` on DataFrames: it computes the cut once.
     """
     r = F.col(raw) if isinstance(raw, str) else raw
     return _xml_pick(r, _xml_cut(r))
 
 
-def with_documents(filings: DataFrame, *, raw: str, keep: list[Column]) -> DataFrame:
+def with_xml(filings: DataFrame, *, raw: str, keep: list) -> DataFrame:
+    """``keep`` columns + ``__xml`` (the embedded document, '' / NULL when
+    absent), the cut text computed once in its own projection."""
+    s1 = filings.select(*keep, F.col(raw).alias("__raw"))
+    base = [c for c in s1.columns if c != "__raw"]
+    s2 = s1.select(*base, "__raw", _xml_cut(F.col("__raw")).alias("__body"))
+    return s2.select(*base, _xml_pick(F.col("__raw"), F.col("__body")).alias("__xml"))
+
+
+def with_documents(filings: DataFrame, *, raw: str, keep: list) -> DataFrame:
     """Adds ``doc`` (typed document or NULL) in staged projections: each
     expensive value (the cut text, the parsed struct) is computed in its own
     projection and referenced by column, so it is evaluated once per filing.
     Malformed XML parses to a struct of nulls (PERMISSIVE) and becomes NULL."""
-    s1 = filings.select(*keep, F.col(raw).alias("__raw"))
-    base = [c for c in s1.columns if c != "__raw"]
-    s2 = s1.select(*base, "__raw", _xml_cut(F.col("__raw")).alias("__body"))
-    s3 = s2.select(*base, _xml_pick(F.col("__raw"), F.col("__body")).alias("__xml"))
+    s3 = with_xml(filings, raw=raw, keep=keep)
+    base = [c for c in s3.columns if c != "__xml"]
     s4 = s3.select(*base, F.from_xml(F.col("__xml"), FORM4_SCHEMA, {"mode": "PERMISSIVE"})
                    .alias("__doc"))
     return s4.select(*base, F.when(F.col("__doc.issuer").isNotNull(), F.col("__doc")).alias("doc"))

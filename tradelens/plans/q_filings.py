@@ -24,8 +24,9 @@ select count(*) as n_filings,
          as n_with_xml
 from orders""")
 def q_regex_embedded_xml(spark, sf):
-    t = filing_texts(spark, sf).select(X.embedded_xml("raw").alias("xml"))
-    return t.agg(F.count(F.lit(1)).alias("n_filings"), F.count("xml").alias("n_with_xml"))
+    t = X.with_xml(filing_texts(spark, sf), raw="raw", keep=[])
+    return t.agg(F.count(F.lit(1)).alias("n_filings"),
+                 F.count_if(F.col("__xml") != "").alias("n_with_xml"))
 
 
 @register("form4_parse", """

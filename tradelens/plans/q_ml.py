@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import ml as ML
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from . import q_target
 from .proxies import with_ctes
 from .registry import register
@@ -118,7 +118,10 @@ def _model_path(spark, sf):
 
 
 def _train(spark, sf):
-    df = rt4(spark, sf)
+    # The model search scans its input many times (every optimizer iteration
+    # of every candidate): materialise the training frame once in the shared
+    # checkpoint folder instead of recomputing the as-of / window lineage.
+    df = cut_lineage(rt4(spark, sf))
     feats = ML.feature_columns(df, target=TARGET, ids=IDS)
     train, test = ML.train_test_split(df, key="key", test_fraction=0.2)
     model = ML.train_regressor(train, features=feats, target=TARGET, estimator="linear")
