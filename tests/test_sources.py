@@ -184,3 +184,51 @@ def test_message_roundtrip(spark):
     back = m.select("key", F.from_json("value", "a int, timestamp long").alias("v")).select(
         "key", "v.a", "v.timestamp")
     assert sorted(map(tuple, back.collect())) == [("k1", 1, 111), ("k2", 2, 222)]
+
+
+HOLDINGS_REPORT = """<?xml version="1.0"?>
+<informationTable xmlns="http://www.sec.gov/edgar/document/thirteenf/informationtable">
+  <infoTable><nameOfIssuer>ACME CORP</nameOfIssuer><titleOfClass>COM</titleOfClass>
+    <cusip>000000001</cusip><shrsOrPrnAmt><sshPrnamt>1200</sshPrnamt></shrsOrPrnAmt></infoTable>
+  <infoTable><nameOfIssuer>BETA INC</nameOfIssuer><titleOfClass>CL A</titleOfClass>
+    <cusip>000000002</cusip><shrsOrPrnAmt><sshPrnamt>n/a</sshPrnamt></shrsOrPrnAmt></infoTable>
+</informationTable>"""
+
+
+def test_thirteen_f_fields(spark):
+    df = spark.createDataFrame([("r1", HOLDINGS_REPORT)], "report string, xml string")
+    rows = X.holdings_report_rows(df).collect()
+    assert [(r.issuer_name, r.issuer_cusip, r.title_class, r.shares) for r in rows] == [
+        ("ACME CORP", "000000001", "COM", 1200), ("BETA INC", "000000002", "CL A", None)]
+
+
+def test_dimension_files(spark, tmp):
+    from tradelens.sources.dimensions import read_cik_map, read_market_caps, read_scoring_csv
+    p = os.path.join(tmp, "map.json")
+    with open(p, "w") as fh:
+        fh.write('{\n "exchange": {"1": "NMS", "2": "NYQ"},\n "sic": {"1": "3571"}\n}\n')
+    got = sorted((r.cik, r.exchange, r.sic) for r in read_cik_map(spark, p).collect())
+    assert got == [("1", "NMS", "3571"), ("2", "NYQ", None)]
+    mc = os.path.join(tmp, "mcaps")
+    spark.createDataFrame([(" aapl", dt.date(2024, 6, 3), 123)], "ticker string, fbd date, market_cap int") \
+        .write.parquet(mc)
+    r = read_market_caps(spark, mc).collect()[0]
+    assert (r.ticker, r.market_cap) == ("AAPL", 123)
+    csv = os.path.join(tmp, "score.csv")
+    with open(csv, "w") as fh:
+        fh.write("key,ticker,price\nk1,AAA,1.5\nk2,BBB,2.5\n")
+    rows = read_scoring_csv(spark, csv, "key string, ticker string, price double").collect()
+    assert [r.price for r in rows] == [1.5, 2.5]
+
+
+def test_live_polling_stream(spark, tmp):
+    from tradelens.streaming import streams as ST
+    src = os.path.join(tmp, "in")
+    for i in range(2):
+        spark.createDataFrame([(i, f"v{i}")], "id int, v string").write.mode("append").parquet(src)
+    out = os.path.join(tmp, "out")
+    stream = TP.read_topic_stream(spark, path=src, schema=spark.read.parquet(src).schema,
+                                  batch_size=1)
+    ST.run_live(stream, ST.batch_sink(out), os.path.join(tmp, "ckpt"), interval="1 second",
+                iterations=2, timeout_s=60)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1]

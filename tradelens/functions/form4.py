@@ -245,3 +245,27 @@ def with_message_fields(tx: DataFrame) -> DataFrame:
     d = S.parse_date_with_suffix("date")
     return (tx.withColumn("timestamp", F.when(d.isNotNull(), S.date_to_epoch_ms(d)))
               .withColumn("key", S.key_composite("link", "remaining_shares", "derivative")))
+
+
+# Holdings reports (13F information tables): namespaced XML, one row per
+# holding. Declared by the reference but not wired into its services.
+INFO_TABLE = T.StructType([
+    T.StructField("nameOfIssuer", T.StringType()),
+    T.StructField("titleOfClass", T.StringType()),
+    T.StructField("cusip", T.StringType()),
+    T.StructField("shrsOrPrnAmt", T.StructType([T.StructField("sshPrnamt", T.StringType())])),
+])
+HOLDINGS_SCHEMA = T.StructType([T.StructField("infoTable", T.ArrayType(INFO_TABLE))])
+
+
+def holdings_report_rows(reports: DataFrame, *, xml: str = "xml") -> DataFrame:
+    """One row per ``infoTable`` entry: issuer, CUSIP, class, shares
+    (namespaces ignored, shares typed with reject-to-null)."""
+    doc = F.from_xml(F.col(xml), HOLDINGS_SCHEMA, {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
+    rows = reports.select(*[c for c in reports.columns if c != xml],
+                          F.explode(doc["infoTable"]).alias("h"))
+    return rows.select(*[c for c in reports.columns if c != xml],
+                       F.col("h.nameOfIssuer").alias("issuer_name"),
+                       F.col("h.cusip").alias("issuer_cusip"),
+                       F.col("h.titleOfClass").alias("title_class"),
+                       F.col("h.shrsOrPrnAmt.sshPrnamt").try_cast("bigint").alias("shares"))

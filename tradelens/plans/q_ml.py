@@ -189,3 +189,18 @@ def q_train_classifier(spark, sf):
     feats = ML.feature_columns(df, target=TARGET, ids=IDS)
     model = ML.classify_sign(df, features=feats, target=TARGET)
     return model.transform(ML.binary_flags(df, feats)).select("key", "prediction")
+
+
+@register("encode_categories", with_ctes(
+    "select key, (dense_rank() over (order by coding) - 1)::double as coding_idx, "
+    "(dense_rank() over (order by owner_code) - 1)::double as owner_code_idx from rt4", **RT4))
+def q_encode_categories(spark, sf):
+    """Dictionary encoding of low-cardinality strings for the model: the
+    alphabetical level index (Parquet already dictionary-encodes on write)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+    df = rt4(spark, sf).select("key", "coding", "owner_code")
+    model = Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"{c}_idx",
+                                           stringOrderType="alphabetAsc")
+                             for c in ("coding", "owner_code")]).fit(df)
+    return model.transform(df).select("key", "coding_idx", "owner_code_idx")
