@@ -48,39 +48,32 @@ def latest_value_per_key(df: DataFrame, *, by: str, value: str,
 
 def fixed_size_batches(df: DataFrame, *, size: int, order: Sequence[str],
                        by: Sequence[str] | None = None, out: str = "batch") -> DataFrame:
-    """Consecutive batches of ``size`` rows (per ``by`` group if given)."""
-    if by:
-        w = Window.partitionBy(*by).orderBy(*order)
-        rn = F.row_number().over(w)
-    else:
-        # Global numbering without a single-partition window: a range-partitioned
-        # sort gives globally ordered partitions; offsets of earlier partitions
-        # come from a tiny per-partition count.
-        return _global_batches(df, size=size, order=order, out=out)
-    return df.withColumn(out, F.floor((rn - 1) / F.lit(size)).cast("bigint"))
-
-
-def _global_batches(df: DataFrame, *, size: int, order: Sequence[str], out: str) -> DataFrame:
-    """Global consecutive numbering without funnelling rows through one task.
-
-    A range-partitioned sort (explicit partition count, so AQE keeps the
-    layout identical for both uses of the exchange) gives globally ordered
-    partitions; the row's position inside its partition comes from
-    ``monotonically_increasing_id`` and the offsets of earlier partitions from
-    a per-partition count, one row per partition (bounded, broadcast).
-    ``order`` must be unique so a recomputed task numbers rows identically.
+    """Consecutive batches of ``size`` rows in ``order`` (per ``by`` group if
+    given): ``floor((row position - 1) / size)``.
+
+    No window over a whole group: rows are range-partitioned on
+    ``(*by, *order)`` — so a hot group is spread over several partitions —
+    and sorted inside each partition; a row's position is its offset inside
+    the partition (``monotonically_increasing_id``) plus the number of rows of
+    its group in earlier partitions, taken from a per-(partition, group)
+    count table whose size is bounded by partitions + groups, not by rows.
+    ``order`` must be unique within a group so re-computed tasks agree.
     """
+    by = list(by or [])
+    keys = by + list(order)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pid, mid = "__pid", "__mid"
-    ordered = (df.repartitionByRange(n, *[F.col(o) for o in order])
-                 .sortWithinPartitions(*order)
+    # explicit partition count: AQE leaves the layout alone, so both reads
+    # of the exchange (rows and counts) see the same partitions
+    ordered = (df.repartitionByRange(n, *[F.col(k) for k in keys])
+                 .sortWithinPartitions(*keys)
                  .withColumn(pid, F.spark_partition_id())
                  .withColumn(mid, F.monotonically_increasing_id()))
-    local = F.col(mid) - F.shiftleft(F.col(pid).cast("bigint"), 33)
-    counts = ordered.groupBy(pid).agg(F.count(F.lit(1)).alias("__n"))
-    offs = counts.withColumn(
-        "__off", F.coalesce(F.sum("__n").over(
-            Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    res = ordered.join(F.broadcast(offs.select(pid, "__off")), pid)
-    return (res.withColumn(out, F.floor((F.col("__off") + local) / F.lit(size)).cast("bigint"))
-               .drop(pid, mid, "__off"))
+    counts = ordered.groupBy(pid, *by).agg(F.min(mid).alias("__first"),
+                                           F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*by).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    res = ordered.join(offs.select(pid, *by, "__first", "__off"), [pid, *by])
+    pos = F.col("__off") + F.col(mid) - F.col("__first")
+    return (res.withColumn(out, F.floor(pos / F.lit(size)).cast("bigint"))
+               .drop(pid, mid, "__first", "__off"))
