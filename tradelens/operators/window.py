@@ -31,11 +31,16 @@ def expanding_lagged_avg(df: DataFrame, *, value_e5: str | Column, delta_days: i
 
 def latest_row_per_key(df: DataFrame, *, by: Sequence[str] | str = "ticker",
                        order: Sequence[str] = ("date", "key")) -> DataFrame:
-    """Last row by ``order`` per key (``order`` must make the choice unique)."""
+    """Last row by ``order`` per key (``order`` must make the choice unique).
+
+    An aggregate (``max_by`` of the whole row), not a window: partial
+    aggregation collapses a hot key map-side instead of sorting it in one task.
+    """
     by = [by] if isinstance(by, str) else list(by)
-    w = Window.partitionBy(*by).orderBy(*[F.col(o).desc() for o in order])
-    return (df.withColumn("__rn", F.row_number().over(w))
-              .where(F.col("__rn") == 1).drop("__rn"))
+    payload = [c for c in df.columns if c not in by]
+    agg = df.groupBy(*by).agg(F.max_by(F.struct(*[F.col(c) for c in payload]),
+                                       F.struct(*[F.col(o) for o in order])).alias("__row"))
+    return agg.select(*by, *[F.col(f"__row.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
 def latest_value_per_key(df: DataFrame, *, by: str, value: str,

@@ -204,3 +204,21 @@ def q_encode_categories(spark, sf):
                                            stringOrderType="alphabetAsc")
                              for c in ("coding", "owner_code")]).fit(df)
     return model.transform(df).select("key", "coding_idx", "owner_code_idx")
+
+
+@register("train_regressor_ols", with_ctes(
+    "select round(regr_slope(pct_change, avg_target_expanding), 6) as slope, "
+    "round(regr_intercept(pct_change, avg_target_expanding), 6) as intercept, "
+    "count(*) as n from rt4", **RT4))
+def q_train_regressor_ols(spark, sf):
+    """One-feature least squares fitted by Spark ML (normal equations, no
+    regularisation, no scaling) — the checkable core of the model search."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    df = rt4(spark, sf).select(TARGET, "avg_target_expanding")
+    va = VectorAssembler(inputCols=["avg_target_expanding"], outputCol="features")
+    lr = LinearRegression(labelCol=TARGET, featuresCol="features", solver="normal",
+                          regParam=0.0, standardization=False).fit(va.transform(df))
+    stats = df.agg(F.count(F.lit(1)).alias("n"))
+    return stats.select(F.round(F.lit(float(lr.coefficients[0])), 6).alias("slope"),
+                        F.round(F.lit(float(lr.intercept)), 6).alias("intercept"), "n")
