@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import form4 as X
 from ..functions import scalars as S
-from .filing_docs import PARSED_SQL, filing_texts
+from .filing_docs import HOLDINGS_SQL, PARSED_SQL, filing_texts, holdings_reports
 from .proxies import with_ctes
 from .registry import register
 
@@ -146,3 +146,26 @@ def q_ingest_filings(spark, sf):
     stored = latest_by_key(typed, ("key",), "date", order_extra=("shares", "price"))
     return stored.select("link", "ticker", "derivative", "shares", "price", "remaining_shares",
                          "date", "timestamp", "key")
+
+
+@register("thirteen_f_fields", HOLDINGS_SQL)
+def q_thirteen_f_fields(spark, sf):
+    """Holdings reports (namespaced XML) -> one row per information-table entry."""
+    return X.holdings_report_rows(holdings_reports(spark, sf))
+
+
+@register("src_filing_text", """
+select concat('edgar/data/', o_custkey::varchar, '/', o_orderkey::varchar, '.txt') as file_path,
+       not (o_orderstatus = 'P' and o_orderpriority = '4-NOT SPECIFIED') as has_xml
+from orders""")
+def q_src_filing_text(spark, sf):
+    """Filing texts landed as packed records in the shared folder, read back
+    as one row per filing (path + whole text)."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.filings import pack_filings, read_filing_records
+    path = scratch_path(spark, f"filings-{uuid.uuid4().hex[:12]}")
+    pack_filings(filing_texts(spark, sf), path, n_files=4)
+    t = X.with_xml(read_filing_records(spark, path), raw="raw", keep=["file_path"])
+    return t.select("file_path", (F.coalesce(F.col("__xml"), F.lit("")) != "").alias("has_xml"))
