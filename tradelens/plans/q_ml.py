@@ -222,3 +222,18 @@ def q_train_regressor_ols(spark, sf):
     stats = df.agg(F.count(F.lit(1)).alias("n"))
     return stats.select(F.round(F.lit(float(lr.coefficients[0])), 6).alias("slope"),
                         F.round(F.lit(float(lr.intercept)), 6).alias("intercept"), "n")
+
+
+@register("src_csv_fallback", with_ctes(
+    "select key, ticker, price, avg_target_expanding from rt4", **RT4))
+def q_src_csv_fallback(spark, sf):
+    """Scoring rows exported to CSV in the shared folder and loaded back with
+    an explicit schema (the store-less path of the scoring job)."""
+    import uuid
+
+    from ..sources.dimensions import read_scoring_csv
+    path = scratch_path(spark, f"scoring-csv-{uuid.uuid4().hex[:12]}")
+    rows = rt4(spark, sf).select("key", "ticker", "price", "avg_target_expanding")
+    rows.write.mode("overwrite").option("header", True).csv(path)
+    return read_scoring_csv(spark, path, "key string, ticker string, price double, "
+                                         "avg_target_expanding double")

@@ -147,3 +147,21 @@ def q_route_by_mode(spark, sf):
     m = raw_messages(spark, sf)
     routed = m.withColumn("training", F.col("event_type") == "purchase")
     return routed.groupBy("training").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("fg_read_or_empty", "select event_id, user_id, ts, event_type from events")
+def q_fg_read_or_empty(spark, sf):
+    """Stored version 1 is read; the absent version 2 reads as an empty frame
+    with the same schema (the flow continues), and the two are stacked."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.catalog import FeatureStore, load_catalog
+    root = scratch_path(spark, f"store-{uuid.uuid4().hex[:12]}")
+    spec = {"events": {"primary_key": ["event_id"], "event_time": "ts"}}
+    v1 = FeatureStore(spark, root, load_catalog(spec, 1))
+    v2 = FeatureStore(spark, root, load_catalog(spec, 2))
+    rows = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    v1.upsert("events", rows)
+    schema = rows.schema
+    return v1.read_or_empty("events", schema).unionByName(v2.read_or_empty("events", schema))

@@ -231,3 +231,27 @@ def q_stream_enrich(spark, sf):
     ST.drain(e.select("key", "company_cik", "exchange", "sic"), ST.batch_sink(out),
              os.path.join(run, "ckpt"))
     return ST.read_batches(spark, out).drop("batch_id")
+
+
+@register("stream_poll_interval", with_ctes(
+    "select cik, form_type, date, file_path from ix where form_type = '4'",
+    ix=__import__("tradelens.plans.index_docs", fromlist=["INDEX_SQL"]).INDEX_SQL))
+def q_stream_poll_interval(spark, sf):
+    """Live polling of landed index quarters: a processing-time trigger every
+    second, stopped after one poll per landed quarter file."""
+    from ..sources import master_index as MI
+    from .index_docs import index_lines
+    run = ST.run_dir(spark, "poll")
+    lines = index_lines(spark, sf)
+    path = os.path.join(run, "in")
+    lines.repartition("year", "quarter").write.mode("overwrite") \
+        .partitionBy("year", "quarter").parquet(path)
+    n_files = lines.select("year", "quarter").distinct().count()
+    per_poll = max(1, n_files // 3 + 1)
+    polls = -(-n_files // per_poll)  # every landed file is consumed by some poll
+    stream = _stream(spark, path, lines.schema, batch_files=per_poll)
+    rows = MI.filter_form_type(MI.parse_index_lines(stream), "4")
+    out = os.path.join(run, "out")
+    ST.run_live(rows.select("cik", "form_type", "date", "file_path"), ST.batch_sink(out),
+                os.path.join(run, "ckpt"), interval="1 second", iterations=polls, timeout_s=300)
+    return ST.read_batches(spark, out).drop("batch_id")
