@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import form4 as X
 from ..functions import scalars as S
-from .filing_docs import HOLDINGS_SQL, PARSED_SQL, filing_texts, holdings_reports
+from .filing_docs import HOLDINGS_SQL, PARSED_SQL, filing_texts, holdings_reports, \
+    landed_filing_texts
 from .proxies import with_ctes
 from .registry import register
 
@@ -15,7 +16,7 @@ _COLS = ", ".join(X.PARSED_COLUMNS)
 
 
 def _docs(spark, sf):
-    return X.parse_filings(filing_texts(spark, sf))
+    return X.parse_filings(landed_filing_texts(spark, sf))
 
 
 @register("regex_embedded_xml", """
@@ -24,7 +25,7 @@ select count(*) as n_filings,
          as n_with_xml
 from orders""")
 def q_regex_embedded_xml(spark, sf):
-    t = X.with_xml(filing_texts(spark, sf), raw="raw", keep=[])
+    t = X.with_xml(landed_filing_texts(spark, sf), raw="raw", keep=[])
     return t.agg(F.count(F.lit(1)).alias("n_filings"),
                  F.count_if(F.col("__xml") != "").alias("n_with_xml"))
 
@@ -134,7 +135,8 @@ def q_ingest_filings(spark, sf):
     from ..sources.catalog import latest_by_key
     from .index_docs import index_lines
     index = MI.filter_form_type(MI.parse_index_lines(index_lines(spark, sf)), "4")
-    texts = filing_texts(spark, sf).join(index.select("file_path"), "file_path", "left_semi")
+    texts = landed_filing_texts(spark, sf).join(index.select("file_path"), "file_path",
+                                                "left_semi")
     tx = X.with_message_fields(X.explode_transactions(X.parse_filings(texts)))
     typed = C.cast_numeric_or_reject(tx, {"shares": "int", "price": "double",
                                           "remaining_shares": "int"})
