@@ -232,3 +232,23 @@ def test_live_polling_stream(spark, tmp):
     ST.run_live(stream, ST.batch_sink(out), os.path.join(tmp, "ckpt"), interval="1 second",
                 iterations=2, timeout_s=60)
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1]
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp):
+    cat = load_catalog({"t": {"primary_key": ["k"], "event_time": "d", "buckets": 8}}, 1)
+    fs = FeatureStore(spark, tmp, cat)
+    schema = "k string, d date, v int"
+    rows = [(f"k{i}", dt.date(2024, 1, 1), i) for i in range(40)]
+    fs.upsert("t", spark.createDataFrame(rows, schema))
+    data = os.path.join(tmp, "t_v1", "data")
+
+    def files():
+        return {os.path.join(dp, f) for dp, _, fns in os.walk(data) for f in fns
+                if f.endswith(".parquet")}
+    before = files()
+    fs.upsert("t", spark.createDataFrame([("k3", dt.date(2024, 1, 2), 99)], schema))
+    after = files()
+    changed = {os.path.basename(os.path.dirname(f)) for f in after ^ before}
+    assert len(changed) == 1  # one bucket directory replaced, the rest untouched
+    got = {r.k: r.v for r in fs.read("t").collect()}
+    assert len(got) == 40 and got["k3"] == 99

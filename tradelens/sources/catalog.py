@@ -1,12 +1,14 @@
 """Keyed, versioned tables ("feature groups") on plain Parquet.
 
 A table spec is ``{name, version, primary_key, event_time}``; its data lives
-at ``<root>/<name>_v<version>/``. Upsert semantics: for every primary key the
-row with the latest event time wins (ties: the later batch). No table format
-with MERGE is installed, so an upsert writes a new snapshot directory
-(``snapshot=<n>``) next to the old one and moves a small pointer file; readers
-always read the newest complete snapshot, so a job that dies mid-write leaves
-the previous snapshot intact, and re-running the same batch is idempotent.
+at ``<root>/<name>_v<version>/data``, partitioned into ``bucket=<b>`` by a hash
+of the primary key. Upsert semantics: for every primary key the row with the
+latest event time wins (ties: the later batch). No table format with MERGE is
+installed, so an upsert reads only the buckets its batch touches (partition
+pruning), merges, stages the result and replaces exactly those buckets with a
+dynamic partition overwrite: its cost follows the batch, not the table. The
+merge is idempotent (merging a batch twice gives the same rows), so a job that
+dies mid-write is repaired by running the same batch again.
 
 The merge is an aggregate, not a window: ``max_by(row, (event_time, batch))``
 per key with map-side partial aggregation, so a hot key (many updates of one
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 BATCH = "_batch"
+BUCKET = "bucket"
+DEFAULT_BUCKETS = 64
 
 
 @dataclass(frozen=True)
@@ -86,31 +90,37 @@ class FeatureStore:
         self.spark, self.root, self.catalog = spark, root, dict(catalog)
 
     # -- layout ---------------------------------------------------------------
-    def _pointer(self, spec: TableSpec) -> str:
-        return os.path.join(spec.location(self.root), "_CURRENT")
+    def _data(self, spec: TableSpec) -> str:
+        return os.path.join(spec.location(self.root), "data")
 
-    def _current_snapshot(self, spec: TableSpec) -> int | None:
+    def _seq_file(self, spec: TableSpec) -> str:
+        return os.path.join(spec.location(self.root), "_LAST_BATCH")
+
+    def _last_batch(self, spec: TableSpec) -> int | None:
         try:
-            txt = self.spark.read.text(self._pointer(spec)).first()
+            txt = self.spark.read.text(self._seq_file(spec)).first()
         except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
                 return None
             raise
         return int(txt[0]) if txt else None
 
-    def _write_pointer(self, spec: TableSpec, snap: int) -> None:
-        self.spark.createDataFrame([(str(snap),)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(self._pointer(spec))
+    def _write_seq(self, spec: TableSpec, n: int) -> None:
+        self.spark.createDataFrame([(str(n),)], "value string").coalesce(1) \
+            .write.mode("overwrite").text(self._seq_file(spec))
+
+    @staticmethod
+    def _bucket(spec: TableSpec) -> Column:
+        n = int(spec.options.get("buckets", DEFAULT_BUCKETS))
+        return F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(n)).cast("int")
 
     # -- API ------------------------------------------------------------------
     def read(self, ref: str, where: Callable[[DataFrame], Column] | str | None = None) -> DataFrame:
-        """Newest snapshot; ``where`` (Column builder or SQL) is pushed down."""
+        """Current rows; ``where`` (Column builder or SQL) is pushed down."""
         spec = self.catalog[ref]
-        snap = self._current_snapshot(spec)
-        if snap is None:
+        if self._last_batch(spec) is None:
             raise FileNotFoundError(f"table {spec.name} v{spec.version} does not exist")
-        df = self.spark.read.parquet(os.path.join(spec.location(self.root), f"snapshot={snap}"))
-        df = df.drop(BATCH) if BATCH in df.columns else df
+        df = self.spark.read.parquet(self._data(spec)).drop(BATCH, BUCKET)
         if where is None:
             return df
         return df.where(where if isinstance(where, str) else where(df))
@@ -128,19 +138,24 @@ class FeatureStore:
 
     def upsert(self, ref: str, batch: DataFrame, batch_id: int | None = None) -> int | None:
         """Insert / overwrite by primary key; empty input is a no-op.
-        Returns the snapshot number written (None when nothing was written)."""
+        Returns the batch id used (None when nothing was written)."""
         spec = self.catalog[ref]
         if batch.isEmpty():
             return None
-        snap = self._current_snapshot(spec)
+        last = self._last_batch(spec)
+        bid = (0 if last is None else last + 1) if batch_id is None else batch_id
+        keyed = batch.withColumn(BUCKET, self._bucket(spec))
+        # the touched bucket ids: at most the bucket count, so a bounded collect
+        touched = [r[0] for r in keyed.select(BUCKET).distinct().collect()]
         current = None
-        if snap is not None:
-            current = self.spark.read.parquet(
-                os.path.join(spec.location(self.root), f"snapshot={snap}"))
-        nxt = 0 if snap is None else snap + 1
-        bid = nxt if batch_id is None else batch_id
-        merged = merge_upsert(current, batch, spec, bid)
-        merged.write.mode("overwrite").parquet(
-            os.path.join(spec.location(self.root), f"snapshot={nxt}"))
-        self._write_pointer(spec, nxt)
-        return nxt
+        if last is not None:
+            current = self.spark.read.parquet(self._data(spec)).where(F.col(BUCKET).isin(touched))
+        merged = merge_upsert(current, keyed, spec, bid)
+        # stage first: the touched buckets are read and replaced by one job
+        stage = os.path.join(spec.location(self.root), "_staging")
+        merged.write.mode("overwrite").parquet(stage)
+        (self.spark.read.parquet(stage).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET)
+         .parquet(self._data(spec)))
+        self._write_seq(spec, bid if last is None else max(last, bid))
+        return bid
