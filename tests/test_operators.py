@@ -152,3 +152,11 @@ def test_fixed_size_batches_global(spark):
     df = spark.range(0, 1000).withColumnRenamed("id", "k")
     out = fixed_size_batches(df, size=100, order=["k"]).collect()
     assert all(r.batch == r.k // 100 for r in out)
+
+
+def test_multiset_fingerprint(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "i int, s string")
+    b = spark.createDataFrame([(2, "y"), (1, "x"), (1, "x")], "i int, s string")
+    c = spark.createDataFrame([(2, "y"), (2, "y"), (1, "x")], "i int, s string")
+    assert C.same_rows(a, b) and not C.same_rows(a, c)
+    assert C.rows_aligned(a, b).count() == 0 and C.rows_aligned(a, c).count() == 2

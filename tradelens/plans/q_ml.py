@@ -177,8 +177,9 @@ def q_score_and_order(spark, sf):
         model.write().overwrite().save(path)
     rows = C.dropna_any(C.dedup_exact(rt4(spark, sf)))
     scored = ML.score(model, rows)
-    mismatched = C.rows_aligned(scored.drop("prediction"), rows)
-    if not mismatched.isEmpty():
+    # scored minus prediction must equal the input (multiset fingerprint:
+    # two aggregates instead of two full-row shuffles)
+    if not C.same_rows(scored.drop("prediction"), rows):
         raise AssertionError("scored rows do not match the input rows")
     return ML.order_intents(scored, threshold=THRESHOLD)
 

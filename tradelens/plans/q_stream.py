@@ -18,7 +18,7 @@ from ..sources import topics as TP
 from ..sources.catalog import TableSpec, latest_by_key
 from ..sources.tables import read_table
 from ..streaming import streams as ST
-from .filing_docs import PARSED_SQL, filing_texts
+from .filing_docs import PARSED_SQL, landed_filing_texts
 from .messages import MESSAGES_SQL, raw_messages
 from .proxies import with_ctes
 from .registry import register
@@ -198,7 +198,7 @@ def q_stream_drain_to_table(spark, sf):
 def q_stream_parse_filings(spark, sf):
     """Landed filing texts -> parse -> transactions, one file per trigger."""
     run = ST.run_dir(spark, "parse")
-    texts = filing_texts(spark, sf)
+    texts = landed_filing_texts(spark, sf)
     path = os.path.join(run, "in")
     ST.land(texts.withColumn("part", F.pmod(F.hash("file_path"), F.lit(4))), path,
             files_by="part", n_files=4)

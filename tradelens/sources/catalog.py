@@ -140,11 +140,15 @@ class FeatureStore:
         """Insert / overwrite by primary key; empty input is a no-op.
         Returns the batch id used (None when nothing was written)."""
         spec = self.catalog[ref]
-        if batch.isEmpty():
+        # The batch is read three times below (empty check, touched buckets,
+        # merge): land it once in the shared folder instead of recomputing it.
+        incoming = os.path.join(spec.location(self.root), "_incoming")
+        batch.withColumn(BUCKET, self._bucket(spec)).write.mode("overwrite").parquet(incoming)
+        keyed = self.spark.read.parquet(incoming)
+        if keyed.isEmpty():
             return None
         last = self._last_batch(spec)
         bid = (0 if last is None else last + 1) if batch_id is None else batch_id
-        keyed = batch.withColumn(BUCKET, self._bucket(spec))
         # the touched bucket ids: at most the bucket count, so a bounded collect
         touched = [r[0] for r in keyed.select(BUCKET).distinct().collect()]
         current = None
