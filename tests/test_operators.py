@@ -160,3 +160,23 @@ def test_multiset_fingerprint(spark):
     c = spark.createDataFrame([(2, "y"), (2, "y"), (1, "x")], "i int, s string")
     assert C.same_rows(a, b) and not C.same_rows(a, c)
     assert C.rows_aligned(a, b).count() == 0 and C.rows_aligned(a, c).count() == 2
+
+
+def test_batches_by_key_with_hot_key(spark):
+    # one key holds almost all rows: it is spread over several range
+    # partitions and still numbered consecutively
+    rows = [("HOT", i) for i in range(3000)] + [("COLD", i) for i in range(7)]
+    df = spark.createDataFrame(rows, "k string, o int")
+    out = fixed_size_batches(df, size=250, order=["o"], by=["k"]).collect()
+    assert all(r.batch == r.o // 250 for r in out) and len(out) == 3007
+
+
+def test_asof_hot_ticker_many_rows_per_day(spark):
+    left = spark.createDataFrame([(f"k{i}", "HOT", D(2024, 1, 1 + i % 9)) for i in range(2000)],
+                                 "key string, ticker string, date date")
+    out = A.asof_join(left, _prices(spark).where(F.col("ticker") == "AAA")
+                      .withColumn("ticker", F.lit("HOT")),
+                      by="ticker", left_on="date", right_on="date", values=["close"])
+    got = {r.date: r.close for r in out.collect()}
+    assert out.count() == 2000
+    assert got[D(2024, 1, 1)] is None and got[D(2024, 1, 4)] == 10.0 and got[D(2024, 1, 9)] == 12.0
