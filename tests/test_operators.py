@@ -180,3 +180,16 @@ def test_asof_hot_ticker_many_rows_per_day(spark):
     got = {r.date: r.close for r in out.collect()}
     assert out.count() == 2000
     assert got[D(2024, 1, 1)] is None and got[D(2024, 1, 4)] == 10.0 and got[D(2024, 1, 9)] == 12.0
+
+
+def test_prefix_sum_lagged_mean_matches_window(spark):
+    from tradelens.operators.window import lagged_mean_by_prefix_sums
+    day = S.DAY_MS
+    rows = [("HOT", (i % 40) * day + (i % 3), i % 7 if i % 11 else None) for i in range(3000)] + \
+           [("A", 0, 1), ("A", 5 * day, 2), ("A", 10 * day, None), ("A", 15 * day, 4), ("B", 0, 1)]
+    df = spark.createDataFrame(rows, "ticker string, timestamp long, e5 long")
+    a = {(r.ticker, r.timestamp, r.e5, r.avg_target_expanding) for r in
+         expanding_lagged_avg(df, value_e5="e5", delta_days=10).collect()}
+    got = lagged_mean_by_prefix_sums(df, value="e5", delta_days=10, scale=100000.0).collect()
+    b = {(r.ticker, r.timestamp, r.e5, r.avg_target_expanding) for r in got}
+    assert len(got) == len(rows) and a == b

@@ -74,6 +74,10 @@ def fixed_size_batches(df: DataFrame, *, size: int, order: Sequence[str],
                  .sortWithinPartitions(*keys)
                  .withColumn(pid, F.spark_partition_id())
                  .withColumn(mid, F.monotonically_increasing_id()))
+    # partition ids and positions are read by two branches: pin them with a
+    # reliable checkpoint in the shared folder
+    from ..session import cut_lineage
+    ordered = cut_lineage(ordered)
     counts = ordered.groupBy(pid, *by).agg(F.min(mid).alias("__first"),
                                            F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*by).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
@@ -82,3 +86,58 @@ def fixed_size_batches(df: DataFrame, *, size: int, order: Sequence[str],
     pos = F.col("__off") + F.col(mid) - F.col("__first")
     return (res.withColumn(out, F.floor(pos / F.lit(size)).cast("bigint"))
                .drop(pid, mid, "__first", "__off"))
+
+
+def lagged_mean_by_prefix_sums(df: DataFrame, *, value: str, delta_days: int,
+                               by: str = "ticker", time_ms: str = "timestamp",
+                               scale: float = 1.0, out: str = "avg_target_expanding"
+                               ) -> DataFrame:
+    """Same result as ``expanding_lagged_avg`` (sum / (count * scale) over all
+    rows of the key with ``time <= current - delta``), without putting a key's
+    rows into one task, for inputs where one key may hold a large share of
+    all rows (e.g. raw intraday rows).
+
+    Every row is stacked twice: as a value at its own time and as a probe at
+    ``time - delta``. The stack is range-partitioned on (key, time, side), so
+    a hot key spans many partitions; running sums inside each
+    (partition, key) slice plus the totals of the same key in earlier
+    partitions (a table with one row per (partition, key)) give each probe
+    the sum and count of all values at or before it. Values sort before
+    probes at equal times (inclusive bound). ``value`` should be integral for
+    order-independent exact sums.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pid = "__pid"
+    cut = F.col(time_ms) - F.lit(int(delta_days) * DAY_MS)
+    # A probe's answer depends only on (key, cut-off): distinct probes, joined
+    # back on that pair at the end (no row ids, which would not survive a
+    # recomputation of a shuffled input).
+    probes = (df.select(F.col(by), cut.alias("__t")).distinct()
+                .select(by, "__t", F.lit(None).cast("long").alias("__v"), F.lit(1).alias("__side")))
+    values = df.select(F.col(by), F.col(time_ms).alias("__t"), F.col(value).cast("long").alias("__v"),
+                       F.lit(0).alias("__side"))
+    stacked = (values.unionByName(probes)
+               .repartitionByRange(n, F.col(by), F.col("__t"), F.col("__side"))
+               .withColumn(pid, F.spark_partition_id()))
+    # The partition id is read by two branches (running sums and per-slice
+    # totals); a reliable checkpoint in the shared folder pins one assignment
+    # for both instead of trusting two evaluations of the range exchange.
+    from ..session import cut_lineage
+    stacked = cut_lineage(stacked)
+    run = (Window.partitionBy(pid, by).orderBy("__t", "__side")
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = (stacked.withColumn("__ls", F.sum("__v").over(run))
+                    .withColumn("__lc", F.count("__v").over(run))
+                    .where(F.col("__side") == 1))
+    totals = stacked.groupBy(pid, by).agg(F.sum("__v").alias("__s"), F.count("__v").alias("__c"))
+    before = Window.partitionBy(by).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.select(pid, by, F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__os"),
+                         F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__oc"))
+    probed = local.join(offs, [pid, by]).select(
+        F.col(by), F.col("__t"),
+        (F.coalesce(F.col("__ls"), F.lit(0)) + F.col("__os")).alias("__sum"),
+        (F.col("__lc") + F.col("__oc")).alias("__cnt"))
+    avg = F.try_divide(F.col("__sum").cast("double"), F.col("__cnt") * F.lit(float(scale)))
+    # many rows may share one (key, cut-off): an equi-join AQE can split
+    joined = df.withColumn("__t", cut).join(probed, [by, "__t"], "left")
+    return joined.withColumn(out, F.when(F.col("__cnt") > 0, avg)).drop("__t", "__sum", "__cnt")

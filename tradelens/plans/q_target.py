@@ -312,3 +312,18 @@ def q_lookup_latest_target(spark, sf):
 def q_build_inference_features(spark, sf):
     rt4 = q_build_training_target(spark, sf)
     return TG.build_inference_features(transactions(spark, sf), rt4, direction="A")
+
+
+@register("expanding_lagged_avg_raw", with_ctes(
+    "select key, ticker, timestamp, shares, cast(sum(shares) over w as double) / "
+    "nullif(count(shares) over w * 1e0, 0) as avg_shares_lagged from tx "
+    f"window w as (partition by ticker order by timestamp range between unbounded preceding "
+    f"and {PERIOD_MS} preceding)", tx=TRANSACTIONS_SQL))
+def q_expanding_lagged_avg_raw(spark, sf):
+    """The leakage guard over raw (not daily-aggregated) rows, where one
+    ticker may hold a large share of all rows: range-partitioned prefix sums
+    instead of one window partition per ticker."""
+    from ..operators.window import lagged_mean_by_prefix_sums
+    tx = transactions(spark, sf).select("key", "ticker", "timestamp", "shares")
+    return lagged_mean_by_prefix_sums(tx, value="shares", delta_days=PERIOD, by="ticker",
+                                      time_ms="timestamp", scale=1.0, out="avg_shares_lagged")
