@@ -79,11 +79,8 @@ def one_hot_columns(df: DataFrame, cat: Sequence[str]) -> DataFrame:
     in the data become 0/1 columns ``<col>_<level>``; a binary column keeps a
     single column for its second level. Levels come from a fitted
     ``StringIndexer`` (a distinct over the column, bounded by cardinality)."""
-    cols = [F.col(c).cast("string").alias(c) if isinstance(df.schema[c].dataType, T.BooleanType)
-            else F.col(c) for c in cat]
     typed = df.withColumns({c: F.col(c).cast("string") for c in cat
                             if isinstance(df.schema[c].dataType, T.BooleanType)})
-    del cols
     model = Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"{c}__idx",
                                            stringOrderType="alphabetAsc") for c in cat]).fit(typed)
     out = typed

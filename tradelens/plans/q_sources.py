@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import clean as C
 from ..sources import master_index as MI
 from ..sources.catalog import TableSpec, latest_by_key, merge_upsert
 from ..sources.html import page_links
@@ -111,9 +110,6 @@ def q_refresh_prices(spark, sf):
     return merge_upsert(stored, new_bars(price_bars(spark, sf), stored), spec, 1).drop("_batch")
 
 
-_EVENTS_SPEC = TableSpec("user_latest", 1, ("user_id",), "ts")
-
-
 @register("fg_upsert",
           "select event_id, user_id, ts, event_type, value from (select *, row_number() over "
           "(partition by user_id order by ts desc, event_id desc) as rn from events) where rn = 1")

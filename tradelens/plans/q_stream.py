@@ -19,8 +19,10 @@ from ..sources.catalog import TableSpec, latest_by_key
 from ..sources.tables import read_table
 from ..streaming import streams as ST
 from .filing_docs import PARSED_SQL, landed_filing_texts
+from .index_docs import INDEX_SQL
 from .messages import MESSAGES_SQL, raw_messages
 from .proxies import with_ctes
+from .q_enrich import _ENRICH_CTES
 from .registry import register
 
 _M = dict(m=MESSAGES_SQL)
@@ -211,8 +213,7 @@ def q_stream_parse_filings(spark, sf):
 
 
 @register("stream_enrich", with_ctes(
-    "select key, company_cik, exchange, sic from e", **__import__(
-        "tradelens.plans.q_enrich", fromlist=["_ENRICH_CTES"])._ENRICH_CTES))
+    "select key, company_cik, exchange, sic from e", **_ENRICH_CTES))
 def q_stream_enrich(spark, sf):
     """Stream-static enrichment: streamed transactions joined to static
     dimensions (read once per batch)."""
@@ -235,7 +236,7 @@ def q_stream_enrich(spark, sf):
 
 @register("stream_poll_interval", with_ctes(
     "select cik, form_type, date, file_path from ix where form_type = '4'",
-    ix=__import__("tradelens.plans.index_docs", fromlist=["INDEX_SQL"]).INDEX_SQL))
+    ix=INDEX_SQL))
 def q_stream_poll_interval(spark, sf):
     """Live polling of landed index quarters: a processing-time trigger every
     second, stopped after one poll per landed quarter file."""
