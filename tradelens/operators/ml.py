@@ -141,7 +141,7 @@ def build_pipeline(df: DataFrame, *, features: Sequence[str], target: str,
 
 
 def train_regressor(train: DataFrame, *, features: Sequence[str], target: str,
-                    estimator: str = "linear", parallelism: int = 2, seed: int = 42
+                    estimator: str = "linear", parallelism: int = 3, seed: int = 42
                     ) -> PipelineModel:
     """Model search: a small grid over the regressor, validated by MAE on a
     held-out part of the training data; returns the best fitted pipeline."""
