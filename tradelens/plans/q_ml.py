@@ -238,3 +238,14 @@ def q_src_csv_fallback(spark, sf):
     rows.write.mode("overwrite").option("header", True).csv(path)
     return read_scoring_csv(spark, path, "key string, ticker string, price double, "
                                          "avg_target_expanding double")
+
+
+@register("backtest_shorts_by_ticker", with_ctes(
+    "select ticker, coalesce(sum(pct_change::decimal(20,8)) filter (where avg_target_expanding "
+    "<= 0), 0)::double * -100.0 as gains, (100.0 * (count(*) filter (where avg_target_expanding "
+    "<= 0) + 1))::double as capital, count(*) filter (where avg_target_expanding <= 0) "
+    "as n_positions from rt4 group by ticker", **RT4))
+def q_backtest_shorts_by_ticker(spark, sf):
+    """The back-test rule per ticker (same conditional aggregate, grouped)."""
+    return ML.backtest_shorts(_prior(spark, sf), investment=100.0, threshold=THRESHOLD,
+                              by=["ticker"])

@@ -10,7 +10,7 @@ from ..sources.html import page_links
 from ..sources.tables import read_table
 from .index_docs import INDEX_SQL, index_lines
 from .messages import MESSAGES_SQL, raw_messages
-from .proxies import PRICES_SQL, price_bars, with_ctes
+from .proxies import PRICES_SQL, TRANSACTIONS_SQL, price_bars, with_ctes
 from .registry import register
 
 _I = dict(ix=INDEX_SQL)
@@ -101,13 +101,21 @@ def q_price_refresh_incremental(spark, sf):
 @register("refresh_prices", with_ctes(
     "select ticker, date, close from s union all select p.ticker, p.date, p.close from p "
     "left join (select ticker, max(date) as hw from s group by ticker) h using (ticker) "
-    "where h.hw is null or p.date > h.hw", p=PRICES_SQL, s=_STORED_SQL))
+    "where (h.hw is null or p.date > h.hw) and p.ticker in "
+    "(select distinct upper(trim(ticker)) from tx)",
+    p=PRICES_SQL, s=_STORED_SQL, tx=TRANSACTIONS_SQL))
 def q_refresh_prices(spark, sf):
-    """Incremental refresh composite: new bars upserted into the stored ``p``."""
+    """Incremental refresh composite: tickers taken from the transaction
+    table, their bars after each high-water mark upserted into ``p``."""
+    from ..operators import clean as C
     from ..sources.prices import new_bars
+    from .proxies import transactions
+    from .target import semi_join_tickers
     stored = _stored_prices(spark, sf)
+    tickers = C.normalize_text_keys(transactions(spark, sf).select("ticker"))
+    bars = semi_join_tickers(price_bars(spark, sf), tickers)
     spec = TableSpec("p", 1, ("ticker", "date"), "date")
-    return merge_upsert(stored, new_bars(price_bars(spark, sf), stored), spec, 1).drop("_batch")
+    return merge_upsert(stored, new_bars(bars, stored), spec, 1).drop("_batch")
 
 
 @register("fg_upsert",

@@ -88,22 +88,26 @@ def q_topic_read_at_least_once(spark, sf):
 
 
 @register("topic_write", with_ctes(
-    "select key, event_id, user_id, event_type from m", **_M))
+    "select key, event_id, user_id, event_type, epoch_us(ts) // 1000 as timestamp from m", **_M))
 def q_topic_write(spark, sf):
     """Publish (key, JSON value) through a streaming sink, read back, decode:
     decode(encode(x)) = x."""
     run = ST.run_dir(spark, "write")
     path, schema = _landed_messages(spark, sf, run)
     out = os.path.join(run, "topic")
+    from ..functions import scalars as S
+    # the event time travels inside the value (epoch ms), as on the topics
     msgs = TP.to_message(_stream(spark, path, schema).select(
-        "key", "event_id", "user_id", "event_type"), key="key")
+        "key", "event_id", "user_id", "event_type",
+        S.date_to_epoch_ms(F.col("ts")).alias("timestamp")), key="key")
     q = TP.write_topic(msgs, path=out, checkpoint=os.path.join(run, "ckpt")) \
         .trigger(availableNow=True).start()
     q.awaitTermination()
     back = spark.read.schema("key string, value string").json(out)
-    rec = F.from_json("value", "event_id bigint, user_id bigint, event_type string")
-    return back.select("key", rec["event_id"].alias("event_id"), rec["user_id"].alias("user_id"),
-                       rec["event_type"].alias("event_type"))
+    rec = F.from_json("value", "event_id bigint, user_id bigint, event_type string, "
+                               "timestamp bigint")
+    return back.select("key", *[rec[c].alias(c) for c in ("event_id", "user_id", "event_type",
+                                                          "timestamp")])
 
 
 @register("stream_dedup", "select distinct event_id from events")
