@@ -175,7 +175,8 @@ def q_score_and_order(spark, sf):
     except Exception:  # noqa: BLE001 - first run in a fresh folder: train once
         model, _, _ = _train(spark, sf)
         model.write().overwrite().save(path)
-    rows = C.dropna_any(C.dedup_exact(rt4(spark, sf)))
+    # read four times (score, two fingerprints, orders): materialise once
+    rows = cut_lineage(C.dropna_any(C.dedup_exact(rt4(spark, sf))))
     scored = ML.score(model, rows)
     # scored minus prediction must equal the input (multiset fingerprint:
     # two aggregates instead of two full-row shuffles)
