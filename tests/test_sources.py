@@ -267,3 +267,21 @@ def test_drained_stream_resumes_from_checkpoint(spark, tmp):
     spark.createDataFrame([(3, "c")], schema).write.mode("append").parquet(src)
     ST.drain(stream(), ST.batch_sink(out), ckpt)  # only the new file is read
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_target_services_through_the_store(spark, tmp):
+    from tradelens.plans.proxies import price_bars, transactions
+    from tradelens.plans.target import TARGET_CATALOG, run_inference, run_training
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    fs = FeatureStore(spark, tmp, load_catalog(TARGET_CATALOG, 1))
+    tx = transactions(spark, sf)
+    fs.upsert("bt4", tx.where(F.col("acquired_disposed") == "R"))
+    fs.upsert("bi4", tx.where(F.col("acquired_disposed") == "A"))
+    fs.upsert("p", price_bars(spark, sf))
+    assert run_training(fs, direction="R") == 0
+    assert run_inference(fs, direction="A") == 0
+    rt4 = fs.read("rt4")
+    assert rt4.count() > 0 and rt4.where(F.col("avg_target_expanding").isNull()).count() == 0
+    assert fs.read("bir4").where(F.col("avg_target_expanding").isNull()).count() == 0

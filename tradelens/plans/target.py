@@ -122,3 +122,34 @@ def build_inference_features(tx: DataFrame, rt4: DataFrame, *,
     daily = policy_aggregate(tx, policy)
     bir4 = lookup_latest_target(daily, rt4)
     return clean_target(bir4)
+
+
+# The stored-table catalog of the target service (reference key
+# -> primary key and event time).
+TARGET_CATALOG = {
+    "p": {"primary_key": ["ticker", "date"], "event_time": "date"},
+    "bt4": {"primary_key": ["key"], "event_time": "date"},
+    "bi4": {"primary_key": ["key"], "event_time": "date"},
+    "rt4": {"primary_key": ["key"], "event_time": "date"},
+    "bir4": {"primary_key": ["key"], "event_time": "date"},
+}
+
+
+def run_training(store, *, period: int = 30, direction_key: str = "acquired_disposed",
+                 direction: str = "D") -> int | None:
+    """The training-side service: read ``bt4`` (direction pushed into the
+    scan) and ``p`` from the store, build ``rt4`` and upsert it."""
+    tx = store.read("bt4", where=lambda fg: fg[direction_key] == direction)
+    prices = store.read_or_empty("p", "ticker string, date date, close double")
+    rt4 = build_training_target(tx, prices, period=period, direction_key=direction_key,
+                                direction=direction)
+    return store.upsert("rt4", rt4)
+
+
+def run_inference(store, *, direction_key: str = "acquired_disposed",
+                  direction: str = "D") -> int | None:
+    """The inference-side service: ``bi4`` + latest ``rt4`` target -> ``bir4``."""
+    tx = store.read("bi4", where=lambda fg: fg[direction_key] == direction)
+    bir4 = build_inference_features(tx, store.read("rt4"), direction_key=direction_key,
+                                    direction=direction)
+    return store.upsert("bir4", bir4)
