@@ -311,11 +311,16 @@ def q_intersect_keys(spark, sf):
 
 
 @register("assert_rows_aligned", with_ctes(
-    "select 0::bigint as n_mismatched", **_T))
+    "select count(*) as n_rows, 0::bigint as n_mismatched, "
+    "count(*) filter (where acquired_disposed = 'N') as n_detected from tx", **_T))
 def q_assert_rows_aligned(spark, sf):
     """Scored frame minus its prediction equals the input: multiset check
-    both ways, reported as the number of mismatched rows."""
-    tx = transactions(spark, sf).select("key", "ticker", "price")
+    both ways. Reports the rows checked, the mismatches of a correct scorer
+    (0) and those found against a scorer that silently lost the 'N' rows."""
+    tx = transactions(spark, sf).select("key", "ticker", "price", "acquired_disposed")
     scored = tx.withColumn("prediction", F.col("price") * 0.0)
-    diff = C.rows_aligned(scored.drop("prediction"), tx)
-    return diff.agg(F.count(F.lit(1)).alias("n_mismatched"))
+    ok = C.rows_aligned(scored.drop("prediction"), tx)
+    lossy = C.rows_aligned(scored.where(F.col("acquired_disposed") != "N").drop("prediction"), tx)
+    return (tx.agg(F.count(F.lit(1)).alias("n_rows"))
+              .crossJoin(ok.agg(F.count(F.lit(1)).alias("n_mismatched")))
+              .crossJoin(lossy.agg(F.count(F.lit(1)).alias("n_detected"))))  # one-row aggregates
