@@ -20,6 +20,11 @@ def expanding_lagged_avg(df: DataFrame, *, value_e5: str | Column, delta_days: i
     is exact and the result is independent of evaluation order. A range frame
     over the numeric time grows incrementally: linear per key after the sort.
     Rows sharing a time are peers, i.e. all of them are in or out together.
+
+    One window partition per key: meant for daily-aggregated input (at most
+    one row per key and day, so a partition is bounded by the calendar). For
+    raw rows where one key may hold a large share of the data use
+    ``lagged_mean_by_prefix_sums``, which gives the same values.
     """
     v = F.col(value_e5) if isinstance(value_e5, str) else value_e5
     w = (Window.partitionBy(by).orderBy(F.col(time_ms))
