@@ -1,8 +1,11 @@
 """Per-column aggregation policy (daily collapse of same-ticker transactions).
 
 The policy is data (column -> op token); each token maps to a built-in
-aggregate expression, so the whole policy becomes one ``HashAggregate`` with a
-map-side partial step before the shuffle on the group keys. No UDAF.
+aggregate expression, so the whole policy becomes one aggregate (object-hash
+when a string ``mode`` or ``min_by`` is present, falling back to sort-based
+aggregation under memory pressure) with a map-side partial step before the
+shuffle on the group keys. No UDAF. Sums, flags, boolean modes, means and a
+"first" of the leading order column use fixed-width buffers.
 """
 
 from __future__ import annotations
@@ -35,8 +38,13 @@ DAILY_POLICY: dict[str, str] = {
 
 
 def agg_first(c: str, order: Sequence[str]) -> Column:
-    """First non-null value by a deterministic row order (``order`` columns)."""
+    """First non-null value by a deterministic row order (``order`` columns).
+
+    When the column is itself the leading order column this is just its
+    minimum (a fixed-width, hash-aggregate-friendly buffer)."""
     col = F.col(c)
+    if order and order[0] == c:
+        return F.min(col)
     rank = F.struct(*[F.col(o) for o in order])
     return F.min_by(col, F.when(col.isNotNull(), rank))
 
