@@ -158,6 +158,29 @@ def train_regressor(train: DataFrame, *, features: Sequence[str], target: str,
     return tvs.fit(train).bestModel
 
 
+def search_regressors(train: DataFrame, *, features: Sequence[str], target: str,
+                      families: Sequence[str] = ("linear", "forest"), parallelism: int = 3,
+                      seed: int = 42) -> tuple[PipelineModel, list[tuple[str, float]]]:
+    """Model search across families (each with its own small grid, validated
+    by MAE on a held-out split); returns the leader and (family, MAE) per
+    family. The input should be materialised (``cut_lineage``): it is scanned
+    by every candidate."""
+    results = []
+    for fam in families:
+        t = binary_flags(train, features)
+        pipe, est = build_pipeline(t, features=features, target=target, estimator=fam, seed=seed)
+        if fam == "linear":
+            grid = ParamGridBuilder().addGrid(est.regParam, [0.0, 0.01, 0.1]).build()
+        else:
+            grid = ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).build()
+        tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid,
+                                   evaluator=RegressionEvaluator(labelCol=target, metricName="mae"),
+                                   trainRatio=0.8, parallelism=parallelism, seed=seed).fit(t)
+        results.append((fam, float(min(tvs.validationMetrics)), tvs.bestModel))
+    best = min(results, key=lambda r: r[1])
+    return best[2], [(f, m) for f, m, _ in results]
+
+
 def score(model: PipelineModel, df: DataFrame, *, keep: Sequence[str] | None = None) -> DataFrame:
     """Predict on every row (map-only); originals kept + ``prediction``."""
     out = model.transform(binary_flags(df, df.columns))

@@ -130,11 +130,16 @@ def _train(spark, sf):
 
 @register("train_regressor")
 def q_train_regressor(spark, sf):
-    """Fitted leader's coefficients (one row per feature slot)."""
-    model, _, _ = _train(spark, sf)
-    lr = model.stages[-1]
-    return spark.createDataFrame([(i, float(c)) for i, c in enumerate(lr.coefficients)],
-                                 "slot int, coefficient double")
+    """Model search over regressor families (linear, random forest), each
+    with a small grid and a held-out MAE; one row per family, the leader
+    flagged."""
+    df = cut_lineage(rt4(spark, sf))
+    feats = ML.feature_columns(df, target=TARGET, ids=IDS)
+    train, _ = ML.train_test_split(df, key="key", test_fraction=0.2)
+    _, scores = ML.search_regressors(train, features=feats, target=TARGET)
+    best = min(m for _, m in scores)
+    return spark.createDataFrame([(f, m, m == best) for f, m in scores],
+                                 "family string, validation_mae double, leader boolean")
 
 
 @register("score")
