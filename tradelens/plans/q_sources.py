@@ -147,10 +147,33 @@ def q_fg_read(spark, sf):
 @register("route_by_mode", with_ctes(
     "select event_type = 'purchase' as training, count(*) as n from m group by 1", m=MESSAGES_SQL))
 def q_route_by_mode(spark, sf):
-    """Training vs inference routing decided per row by a flag column."""
-    m = raw_messages(spark, sf)
-    routed = m.withColumn("training", F.col("event_type") == "purchase")
-    return routed.groupBy("training").agg(F.count(F.lit(1)).alias("n"))
+    """The drain loop routes every micro-batch to the training or the
+    inference table by a per-row mode flag (two filtered writes inside one
+    ``foreachBatch``, both idempotent per batch id); the query reports the
+    rows each table received."""
+    import os
+
+    from ..streaming import streams as ST
+    from ..sources import topics as TP
+    run = ST.run_dir(spark, "route")
+    m = raw_messages(spark, sf).withColumn("training", F.col("event_type") == "purchase")
+    path = os.path.join(run, "in")
+    ST.land(m, path, files_by="event_type", n_files=3)
+    stream = TP.read_topic_stream(spark, path=path, schema=m.schema, batch_size=1)
+    train_out, infer_out = os.path.join(run, "train"), os.path.join(run, "infer")
+
+    def sink(batch, batch_id):
+        batch.persist()
+        for flag, out in ((True, train_out), (False, infer_out)):
+            batch.where(F.col("training") == flag).select("key", "event_id") \
+                .write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+        batch.unpersist()
+
+    ST.drain(stream, sink, os.path.join(run, "ckpt"))
+    counts = [ST.read_batches(spark, out).agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("training", F.lit(flag))
+              for flag, out in ((True, train_out), (False, infer_out))]
+    return counts[0].unionByName(counts[1]).select("training", "n")
 
 
 @register("fg_read_or_empty", "select event_id, user_id, ts, event_type from events")
