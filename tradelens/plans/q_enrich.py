@@ -108,3 +108,25 @@ _SECTORS_SQL = "select * from (values " + ", ".join(
 def q_sic_sector(spark, sf):
     part = read_table(spark, sf, "part").select("p_partkey")
     return EN.sic_sectors(part, "p_partkey", EN.sic_sector_table(spark))
+
+
+@register("src_dimension_files", with_ctes(
+    "select cmap.cik, cmap.exchange, cmap.sic, count(cm.ticker) as n_mcap_rows from cmap "
+    "left join cm on cm.ticker = concat('T', cmap.cik) group by all", **_ENRICH_CTES))
+def q_src_dimension_files(spark, sf):
+    """Dimension files landed in the shared folder (market caps as Parquet,
+    the CIK map as JSON Lines), loaded back and combined."""
+    import os
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources import dimensions as DIM
+    root = scratch_path(spark, f"dims-{uuid.uuid4().hex[:12]}")
+    cached_mcaps(spark, sf).write.mode("overwrite").parquet(os.path.join(root, "mcaps"))
+    DIM.write_cik_map_lines(cik_map(spark, sf), os.path.join(root, "cik_map"))
+    mc = DIM.read_market_caps(spark, os.path.join(root, "mcaps"))
+    cm = DIM.read_cik_map_lines(spark, os.path.join(root, "cik_map"))
+    counts = mc.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_mcap_rows"))
+    j = cm.join(counts, counts.ticker == F.concat(F.lit("T"), cm.cik), "left")
+    return j.select("cik", "exchange", "sic",
+                    F.coalesce("n_mcap_rows", F.lit(0)).alias("n_mcap_rows"))

@@ -28,6 +28,16 @@ def read_cik_map(spark: SparkSession, path: str) -> DataFrame:
     return ex.join(sic, "cik", "full")
 
 
+def read_cik_map_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The CIK map as JSON Lines (one ``{"cik", "exchange", "sic"}`` object per
+    line): splittable, so it is read by as many tasks as its size needs."""
+    return spark.read.schema("cik string, exchange string, sic string").json(path)
+
+
+def write_cik_map_lines(cik_map: DataFrame, path: str) -> None:
+    cik_map.select("cik", "exchange", "sic").write.mode("overwrite").json(path)
+
+
 def read_scoring_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Scoring rows from CSV instead of the store: explicit schema, header."""
     return spark.read.schema(schema).option("header", True).csv(path)
