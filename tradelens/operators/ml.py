@@ -49,16 +49,16 @@ def zscore_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def scale_continuous(df: DataFrame, cols: Sequence[str], stats: DataFrame | None = None) -> DataFrame:
     """(x - mean) / population std; a constant column becomes 0. ``stats``
-    (from the training data) can be reused at scoring time. The one-row stats
-    frame is broadcast (its size is fixed by the number of columns)."""
+    (from the training data) can be reused at scoring time. The statistics
+    enter as scalar subqueries over the one-row stats frame (Catalyst merges
+    them into one aggregate job); no join."""
     stats = stats if stats is not None else zscore_stats(df, cols)
-    j = df.crossJoin(F.broadcast(stats))
     out = {}
     for c in cols:
-        std = F.col(f"{c}__std")
-        out[c] = F.when(std == 0, F.lit(0.0)).otherwise(
-            (F.col(c) - F.col(f"{c}__mean")) / std)
-    return j.withColumns(out).drop(*[x for c in cols for x in (f"{c}__mean", f"{c}__std")])
+        mean = stats.select(f"{c}__mean").scalar()
+        std = stats.select(f"{c}__std").scalar()
+        out[c] = F.when(std == 0, F.lit(0.0)).otherwise((F.col(c) - mean) / std)
+    return df.withColumns(out)
 
 
 # ----------------------------------------------------------------- encoding ---

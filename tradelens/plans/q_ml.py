@@ -157,7 +157,9 @@ def q_train_and_backtest(spark, sf):
     pred = ML.score(model, test, keep=["key", "ticker", TARGET]).withColumnRenamed(TARGET, "label")
     bt = ML.backtest_shorts(pred, threshold=THRESHOLD)
     mae = ML.mae_negative(pred)
-    return bt.crossJoin(mae)  # two one-row aggregates
+    # both metrics are one-row aggregates: attach MAE as scalar subqueries
+    return bt.select("*", mae.select("mae").scalar().alias("mae"),
+                     mae.select("n_negative").scalar().alias("n_negative"))
 
 
 @register("model_store")

@@ -212,14 +212,14 @@ def q_filter_horizon(spark, sf):
 
 
 @register("scalar_max_cross", with_ctes(
-    "select key, date, m.max_date, date + 30 <= m.max_date as within_horizon "
-    "from tx cross join (select max(date) as max_date from p) m",
+    "select key, date, (select max(date) from p) as max_date, "
+    "date + 30 <= (select max(date) from p) as within_horizon from tx",
     tx=TRANSACTIONS_SQL, p=PRICES_SQL))
 def q_scalar_max_cross(spark, sf):
-    """Every row compared with one global maximum: a one-row aggregate joined
-    by broadcast (its size is one row by construction)."""
-    m = TG.global_max_date(price_bars(spark, sf))
-    return (transactions(spark, sf).select("key", "date").crossJoin(F.broadcast(m))
+    """Every row compared with one global maximum: the maximum is a scalar
+    subquery (one aggregate job, its value inlined), not a join."""
+    m = TG.global_max_date(price_bars(spark, sf)).select("max_date").scalar()
+    return (transactions(spark, sf).select("key", "date", m.alias("max_date"))
             .withColumn("within_horizon", S.add_days("date", PERIOD) <= F.col("max_date")))
 
 
