@@ -169,12 +169,21 @@ def q_pct_change(spark, sf):
 
 
 @register("price_fallback", with_ctes(
-    "select key, case when shares = 0 then price else shares end as price_or_start from "
-    "(select key, (shares % 5)::double as shares, price from tx)", **_T))
+    "select t.key, case when t.txn_price = 0 then p.close else t.txn_price end as price "
+    "from (select key, upper(trim(ticker)) as ticker, date, "
+    "case when derivative then 0e0 else price end as txn_price from tx) t "
+    "asof left join p on t.ticker = p.ticker and t.date >= p.date",
+    tx=TRANSACTIONS_SQL, p=PRICES_SQL))
 def q_price_fallback(spark, sf):
-    tx = transactions(spark, sf).select("key", (F.col("shares") % 5).cast("double").alias("shares"),
-                                        "price")
-    return tx.select("key", S.price_fallback("shares", "price").alias("price_or_start"))
+    """Derivative rows report no price (0): they fall back to the start price
+    of the day (backward as-of on the daily bars)."""
+    from ..operators import asof as A
+    tx = C.normalize_text_keys(transactions(spark, sf)).select(
+        "key", "ticker", "date",
+        F.when(F.col("derivative"), F.lit(0.0)).otherwise(F.col("price")).alias("txn_price"))
+    j = A.asof_join(tx, price_bars(spark, sf), by="ticker", left_on="date", right_on="date",
+                    values=["close"], prefix="start_")
+    return j.select("key", S.price_fallback("txn_price", "start_close").alias("price"))
 
 
 @register("shares_to_usd", with_ctes(
