@@ -285,3 +285,15 @@ def test_target_services_through_the_store(spark, tmp):
     rt4 = fs.read("rt4")
     assert rt4.count() > 0 and rt4.where(F.col("avg_target_expanding").isNull()).count() == 0
     assert fs.read("bir4").where(F.col("avg_target_expanding").isNull()).count() == 0
+
+
+def test_index_quarter_selection_prunes_partitions(spark, tmp):
+    for y, q in ((2023, 4), (2024, 1)):
+        d = os.path.join(tmp, f"year={y}", f"quarter={q}")
+        os.makedirs(d)
+        with open(os.path.join(d, "master.idx"), "w") as fh:
+            fh.write(f"1|A|4|{y}-01-03|edgar/data/1/{y}.txt\n")
+    sel = MI.index_backfill(MI.read_master_index(spark, tmp), now_year=2024, years=0)
+    plan = sel._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert [r.date for r in sel.collect()] == ["2024-01-03"]
