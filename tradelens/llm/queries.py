@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
+from .jaccard_join import jaccard_join
 from .registry import ORACLES, QUERIES, register  # noqa: F401
 from .substring_dedup import substring_dedup
 
@@ -12,3 +13,8 @@ from .substring_dedup import substring_dedup
 @register("op2_substring_dedup")
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@register("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(read_table(spark, sf_dir, "documents"))
