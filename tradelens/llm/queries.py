@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
 from .jaccard_join import jaccard_join
+from .quality import quality_scores
 from .registry import ORACLES, QUERIES, register  # noqa: F401
 from .substring_dedup import substring_dedup
+from .toxicity import toxicity_scores
 
 
 @register("op2_substring_dedup")
@@ -18,3 +20,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_jaccard_join")
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents"))
+
+
+@register("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"),
+                          read_table(spark, sf_dir, "labels"))
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"),
+                           read_table(spark, sf_dir, "labels"))
