@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
+from .decontaminate import contamination
 from .jaccard_join import jaccard_join
 from .quality import quality_scores
 from .registry import ORACLES, QUERIES, register  # noqa: F401
@@ -32,3 +33,9 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"),
                            read_table(spark, sf_dir, "labels"))
+
+
+@register("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"),
+                         read_table(spark, sf_dir, "benchmark"))

@@ -29,6 +29,7 @@ from .textscan import LOWER, NON_ALNUM, runs, span_hash, spans
 
 MOD, REST = 5, 0
 THRESHOLD = 0.5
+CHANCE = 10.83     # chi-square that chance exceeds once in a thousand terms
 
 
 def term_places(texts: pa.Array, bits: int) -> list[np.ndarray]:
@@ -104,8 +105,9 @@ def _associated(f: np.ndarray, row: np.ndarray, y: np.ndarray, bits: int, n_term
     gap = pos * n0 - neg * n1
     chi = np.where((both > 1) & (both < n1 + n0), gap * gap / np.maximum(both, 1)
                    / np.maximum(n1 + n0 - both, 1), 0)
+    chi *= (n1 + n0) / max(1, n1 * n0)
     best = np.argsort(-chi, kind="stable")[:n_terms]
-    return best[chi[best] > 0]
+    return best[chi[best] > CHANCE]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, positives: int = 4000,
