@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .textscan import runs, span_hash
+
 ROW = "bucket int, slice int, kind int, n int, a binary, b binary, c binary"
 ROW_ARROW = pa.schema([("bucket", pa.int32()), ("slice", pa.int32()), ("kind", pa.int32()),
                        ("n", pa.int32()), ("a", pa.binary()), ("b", pa.binary()),
@@ -32,10 +34,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_slice(docs: DataFrame, slices: int) -> DataFrame:
-    """doc_id, text and the slice; a hash of both spreads null or repeated ids."""
+def with_slice(docs: DataFrame, slices: int, rest: bool = False) -> DataFrame:
+    """doc_id, text and the slice; a hash of both spreads null or repeated ids.
+
+    ``rest`` adds all other columns in one struct, where no name can clash.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        *([F.struct(*others).alias("rest")] if rest else []),
         F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")), F.lit(slices))
         .cast("int").alias("slice"))
 
@@ -45,6 +52,48 @@ def in_order(t: pa.Table) -> pa.Table:
     return t.sort_by([("doc_id", "ascending"), ("text", "ascending")]) if t.num_rows else t
 
 
+class Units:
+    """The units (words, lines) of the rows of a slice, as arrays over all rows.
+
+    ``cut(bytes, offsets)`` gives unit starts, ends and counts per row as offsets.
+    """
+
+    def __init__(self, t: pa.Table, cut):
+        t = in_order(t)
+        ids = t.column("doc_id")
+        self.live = ids.is_valid().to_numpy()
+        self.ids = ids.fill_null(0).to_numpy()
+        hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for _, buf, off in runs(t.column("text")):
+            s, e, n = cut(buf, off)
+            hashes.append(span_hash(buf, s, e))
+            counts.append(np.diff(n))
+        self.hashes = np.concatenate(hashes)
+        self.count = np.concatenate(counts)
+        self.off = np.concatenate([[0], np.cumsum(self.count)])
+        self.row = np.repeat(np.arange(len(self.count)), self.count)
+
+    def starts(self, width: int) -> np.ndarray:
+        """Positions where a window of ``width`` units of one row with an id starts."""
+        ok = np.arange(len(self.hashes)) + width <= self.off[1:][self.row]
+        return np.flatnonzero(ok & self.live[self.row])
+
+
+def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
+    """Which of ``n`` positions lie in a window that begins at one of ``starts``."""
+    edge = np.zeros(n + 1, np.int64)
+    edge[starts] += 1
+    edge[starts + width] -= 1
+    return np.cumsum(edge)[:-1] > 0
+
+
+def reply(rs: list[dict], bits: np.ndarray) -> pa.Table:
+    """One answer row per entry row, a bit per entry."""
+    cut = np.cumsum([0] + [r["n"] for r in rs])
+    return rows([(r["bucket"], r["slice"], ENTRIES, r["n"], pack_bits(bits[x:y]), None, None)
+                 for r, x, y in zip(rs, cut[:-1], cut[1:])])
+
+
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     """Monotone in ``h``, so sorted hashes have contiguous buckets."""
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)

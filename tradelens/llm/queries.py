@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import read_table
 from .decontaminate import contamination
 from .jaccard_join import jaccard_join
+from .line_dedup import ORACLE_SQL as LINE_SQL
+from .line_dedup import line_dedup
 from .quality import quality_scores
 from .registry import ORACLES, QUERIES, register  # noqa: F401
 from .substring_dedup import substring_dedup
@@ -39,3 +41,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"),
                          read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_line_dedup", LINE_SQL)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(read_table(spark, sf_dir, "documents"))

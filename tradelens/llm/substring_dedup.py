@@ -33,35 +33,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import packed as P
-from .textscan import SPACE, runs, span_hash, spans, window_hash
+from .textscan import SPACE, spans, window_hash
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 RESULT_TEXT = RESULT + ", kept_text string"
 
 
-class _Slice:
+class _Slice(P.Units):
     """The words of one slice, as arrays over all its documents."""
 
     def __init__(self, t: pa.Table):
-        t = P.in_order(t)
-        self.ids = t.column("doc_id").to_numpy(zero_copy_only=False) if not t.column(
-            "doc_id").null_count else t.column("doc_id").fill_null(0).to_numpy()
-        self.live = ~t.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-        self.texts = t.column("text")
-        hashes, counts = [], []
-        for _, buf, off in runs(self.texts):
-            s, e, w = spans(buf, off, SPACE)
-            hashes.append(span_hash(buf, s, e))
-            counts.append(np.diff(w))
-        self.words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        self.count = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-        self.off = np.concatenate([[0], np.cumsum(self.count)])
-        self.row = np.repeat(np.arange(len(self.count)), self.count)
-
-    def starts(self, width: int) -> np.ndarray:
-        """Positions where a window of ``width`` words of one live document starts."""
-        ok = np.arange(len(self.words)) + width <= self.off[1:][self.row]
-        return np.flatnonzero(ok & self.live[self.row])
+        super().__init__(t, lambda buf, off: spans(buf, off, SPACE))
+        self.words = self.hashes
 
     def anchors(self, block: int):
         """Distinct rolling block hashes: (positions by hash, run starts, hashes)."""
@@ -113,13 +96,7 @@ def _anchor_match(key, t):
         & np.logical_or.reduceat(index[order], first)
     out = np.empty(len(h), bool)
     out[order] = np.repeat(hit, size)
-    return _reply(rs, out)
-
-
-def _reply(rs: list[dict], out: np.ndarray) -> pa.Table:
-    cut = np.cumsum([0] + [r["n"] for r in rs])
-    return P.rows([(r["bucket"], r["slice"], P.ENTRIES, r["n"], P.pack_bits(out[x:y]), None, None)
-                   for r, x, y in zip(rs, cut[:-1], cut[1:])])
+    return P.reply(rs, out)
 
 
 def _window_pass(buckets, block, width):
@@ -169,7 +146,7 @@ def _window_match(key, t):
     least = np.minimum.reduceat(ids[order], first)
     out = np.empty(len(k), bool)
     out[order] = np.repeat(least, np.diff(np.append(first, len(k)))) < ids[order]
-    return pa.concat_tables([_reply(rs, out), notes])
+    return pa.concat_tables([P.reply(rs, out), notes])
 
 
 def _removal_pass(width, keep_text):
@@ -189,10 +166,7 @@ def _removal_pass(width, keep_text):
             at, first, _, _, ids, least = _windows(s, w, width)
             size = np.diff(np.append(first, len(at)))
             bad = at[np.repeat(P.answers(got), size) | (ids > np.repeat(least, size))]
-            edge = np.zeros(len(s.words) + 1, np.int64)
-            edge[bad] += 1
-            edge[bad + width] -= 1
-            gone = np.cumsum(edge)[:-1] > 0
+            gone = P.covered(bad, width, len(s.words))
         out = []
         for i, text in enumerate(t.column("text")):
             words = (text.as_py() or "").encode().split()
