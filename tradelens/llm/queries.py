@@ -13,6 +13,8 @@ from .quality import quality_scores
 from .registry import ORACLES, QUERIES, register  # noqa: F401
 from .substring_dedup import substring_dedup
 from .toxicity import toxicity_scores
+from .warc import ORACLE_SQL as WARC_SQL
+from .warc import pages_to_warc
 
 
 @register("op2_substring_dedup")
@@ -46,3 +48,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_line_dedup", LINE_SQL)
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(read_table(spark, sf_dir, "documents"))
+
+
+@register("op9_warc", WARC_SQL)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_to_warc(read_table(spark, sf_dir, "pages"))
