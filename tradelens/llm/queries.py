@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
+from .ann import nearest
 from .decontaminate import contamination
 from .jaccard_join import jaccard_join
 from .line_dedup import ORACLE_SQL as LINE_SQL
@@ -53,3 +55,9 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_warc", WARC_SQL)
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_to_warc(read_table(spark, sf_dir, "pages"))
+
+
+@register("op3_nearest_neighbours")
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = read_table(spark, sf_dir, "embeddings")
+    return nearest(emb, emb.where(F.col("vec_id") % 100 == 0))
