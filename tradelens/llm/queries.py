@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .ann import nearest
 from .decontaminate import contamination
+from .html_extract import main_text
 from .jaccard_join import jaccard_join
 from .line_dedup import ORACLE_SQL as LINE_SQL
 from .line_dedup import line_dedup
@@ -61,3 +62,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
     return nearest(emb, emb.where(F.col("vec_id") % 100 == 0))
+
+
+@register("op10_html_extraction")
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read_table(spark, sf_dir, "pages"))
