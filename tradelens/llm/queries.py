@@ -12,6 +12,8 @@ from .html_extract import main_text
 from .jaccard_join import jaccard_join
 from .line_dedup import ORACLE_SQL as LINE_SQL
 from .line_dedup import line_dedup
+from .mixing import ORACLE_SQL as MIX_SQL
+from .mixing import mix
 from .quality import quality_scores
 from .registry import ORACLES, QUERIES, register  # noqa: F401
 from .substring_dedup import substring_dedup
@@ -67,3 +69,9 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_html_extraction")
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read_table(spark, sf_dir, "pages"))
+
+
+@register("op1_source_mixing", MIX_SQL)
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "n_tokens", "epoch", "block")
