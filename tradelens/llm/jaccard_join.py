@@ -418,3 +418,11 @@ def jaccard_join(docs: DataFrame, width: int = 5, part: int = 256, block: int =
     slim = sets.select("doc_id", "n_shingles", "sig")
     return slim.join(of_sig, slim.sig == of_sig.s, "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
+    """The documents, with all their columns, that are the smallest of their
+    component (and those without an id). Rows of one ``doc_id`` are one document."""
+    gone = jaccard_join(docs, **options).where("component_id <> doc_id").select(
+        F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
