@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+EXACT_SCALE = 18
+
 # The daily aggregation policy of the transaction tables.
 DAILY_POLICY: dict[str, str] = {
     "company_cik": "first",
@@ -72,12 +74,14 @@ def agg_mode_first(c: str, dtype: T.DataType | None = None) -> Column:
 
 
 def agg_mean(c: str, exact_scale: int | None = None) -> Column:
-    """Null-skipping mean. With ``exact_scale`` the sum is taken in decimal,
-    so the result does not depend on the order rows reach the aggregate."""
+    """Null-skipping mean. With ``exact_scale`` the sum is taken in decimal of
+    that many places, so the result does not depend on the order rows reach the
+    aggregate; a scale of ``EXACT_SCALE`` keeps every digit of a double from
+    0.01 to 1e20, so it only removes the dependence on order."""
     col = F.col(c)
     if exact_scale is None:
         return F.avg(col)
-    return F.sum(col.cast(f"decimal(18,{exact_scale})")).cast("double") / F.count(col)
+    return F.sum(col.cast(f"decimal(38,{exact_scale})")).cast("double") / F.count(col)
 
 
 def build_policy(policy: Mapping[str, str], *, order: Sequence[str],
@@ -101,7 +105,7 @@ def build_policy(policy: Mapping[str, str], *, order: Sequence[str],
 def policy_aggregate(df: DataFrame, policy: Mapping[str, str] = DAILY_POLICY, *,
                      keys: Sequence[str] = ("ticker", "date"),
                      order: Sequence[str] = ("timestamp", "key"),
-                     mean_scale: int | None = 2) -> DataFrame:
+                     mean_scale: int | None = EXACT_SCALE) -> DataFrame:
     """Group by ``keys`` applying ``policy``.
 
     Policy entries whose column is absent are ignored, columns outside the

@@ -51,18 +51,20 @@ def normalize_text_keys(df: DataFrame, cols: Sequence[str] = ("ticker",)) -> Dat
 def cast_numeric_or_reject(df: DataFrame, casts: dict[str, str]) -> DataFrame:
     """Cast to numeric; unparsable / out-of-range values make the row go away.
 
-    Strings go through double so '10.5' becomes 10 for integer targets (a
-    direct ``try_cast('10.5' as int)`` is NULL); the range is checked before the
-    integral cast so ANSI overflow can not raise.
+    Integer targets take the integral cast first, which is exact over the whole
+    64-bit range; only what it rejects ('10.5', '1e3') goes through double and is
+    truncated, its range checked so ANSI overflow can not raise.
     """
     out = {}
     for c, typ in casts.items():
-        as_double = F.trim(F.col(c).cast("string")).try_cast("double")
+        text = F.trim(F.col(c).cast("string"))
+        as_double = text.try_cast("double")
         ok = as_double.isNotNull() & ~F.isnan(as_double)
         if typ in INT_RANGE:
             lo, hi = INT_RANGE[typ]
             ok = ok & (as_double >= lo) & (as_double <= hi)
-        out[c] = F.when(ok, as_double).cast(typ)
+        cast = F.when(ok, as_double).cast(typ)
+        out[c] = F.coalesce(text.try_cast(typ), cast) if typ in INT_RANGE else cast
     keep = None
     for c in casts:
         keep = F.col(c).isNotNull() if keep is None else keep & F.col(c).isNotNull()

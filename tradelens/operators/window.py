@@ -87,7 +87,13 @@ def fixed_size_batches(df: DataFrame, *, size: int, order: Sequence[str],
                                            F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*by).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    res = ordered.join(offs.select(pid, *by, "__first", "__off"), [pid, *by])
+    # null-safe: a null group is a group of its own
+    offs = offs.select(F.col(pid).alias("__opid"), *[F.col(b).alias(f"__o_{b}") for b in by],
+                       "__first", "__off")
+    on = ordered[pid] == offs["__opid"]
+    for b in by:
+        on = on & ordered[b].eqNullSafe(offs[f"__o_{b}"])
+    res = ordered.join(offs, on).drop("__opid", *[f"__o_{b}" for b in by])
     pos = F.col("__off") + F.col(mid) - F.col("__first")
     return (res.withColumn(out, F.floor(pos / F.lit(size)).cast("bigint"))
                .drop(pid, mid, "__first", "__off"))
@@ -118,9 +124,13 @@ def lagged_mean_by_prefix_sums(df: DataFrame, *, value: str, delta_days: int,
     # back on that pair at the end (no row ids, which would not survive a
     # recomputation of a shuffled input).
     probes = (df.select(F.col(by), cut.alias("__t")).distinct()
-                .select(by, "__t", F.lit(None).cast("long").alias("__v"), F.lit(1).alias("__side")))
-    values = df.select(F.col(by), F.col(time_ms).alias("__t"), F.col(value).cast("long").alias("__v"),
-                       F.lit(0).alias("__side"))
+                .select(by, "__t", F.lit(None).cast("long").alias("__v"),
+                      F.lit(0).cast("long").alias("__n"), F.lit(1).alias("__side")))
+    # values of one (key, time) are summed before the shuffle: however many rows
+    # share a time, they are one row of the stack
+    values = df.groupBy(F.col(by), F.col(time_ms).alias("__t")).agg(
+        F.sum(F.col(value).cast("long")).alias("__v"), F.count(value).alias("__n")).select(
+        by, "__t", "__v", "__n", F.lit(0).alias("__side"))
     stacked = (values.unionByName(probes)
                .repartitionByRange(n, F.col(by), F.col("__t"), F.col("__side"))
                .withColumn(pid, F.spark_partition_id()))
@@ -132,17 +142,22 @@ def lagged_mean_by_prefix_sums(df: DataFrame, *, value: str, delta_days: int,
     run = (Window.partitionBy(pid, by).orderBy("__t", "__side")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = (stacked.withColumn("__ls", F.sum("__v").over(run))
-                    .withColumn("__lc", F.count("__v").over(run))
+                    .withColumn("__lc", F.sum("__n").over(run))
                     .where(F.col("__side") == 1))
-    totals = stacked.groupBy(pid, by).agg(F.sum("__v").alias("__s"), F.count("__v").alias("__c"))
+    totals = stacked.groupBy(pid, by).agg(F.sum("__v").alias("__s"), F.sum("__n").alias("__c"))
     before = Window.partitionBy(by).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select(pid, by, F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__os"),
                          F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__oc"))
-    probed = local.join(offs, [pid, by]).select(
-        F.col(by), F.col("__t"),
+    offs = offs.withColumnsRenamed({pid: "__opid", by: "__oby"})
+    probed = local.join(offs, (local[pid] == offs["__opid"])
+                        & local[by].eqNullSafe(offs["__oby"])).select(
+        F.col(by).alias("__pby"), F.col("__t").alias("__pt"),
         (F.coalesce(F.col("__ls"), F.lit(0)) + F.col("__os")).alias("__sum"),
         (F.col("__lc") + F.col("__oc")).alias("__cnt"))
     avg = F.try_divide(F.col("__sum").cast("double"), F.col("__cnt") * F.lit(float(scale)))
     # many rows may share one (key, cut-off): an equi-join AQE can split
-    joined = df.withColumn("__t", cut).join(probed, [by, "__t"], "left")
-    return joined.withColumn(out, F.when(F.col("__cnt") > 0, avg)).drop("__t", "__sum", "__cnt")
+    cutoff = df.withColumn("__t", cut)
+    joined = cutoff.join(probed, cutoff[by].eqNullSafe(probed["__pby"])
+                         & cutoff["__t"].eqNullSafe(probed["__pt"]), "left")
+    return joined.withColumn(out, F.when(F.col("__cnt") > 0, avg)).drop(
+        "__t", "__pby", "__pt", "__sum", "__cnt")

@@ -93,7 +93,13 @@ def q_enrich_exchange_sic(spark, sf):
     "union all select 'missing_exchange', null, company_cik from e where exchange is null) "
     "group by kind", **_ENRICH_CTES))
 def q_sink_dead_letter(spark, sf):
-    dl = EN.dead_letters(enriched(spark, sf))
+    """Failures appended to the dead-letter table (one folder per kind), read back."""
+    import uuid
+
+    from ..session import scratch_path
+    path = scratch_path(spark, f"dead-{uuid.uuid4().hex[:12]}")
+    EN.write_dead_letters(EN.dead_letters(enriched(spark, sf)), path)
+    dl = spark.read.parquet(path)
     return dl.groupBy("kind").agg(F.count(F.lit(1)).alias("n"),
                                   F.count_distinct(F.coalesce("ticker", "cik")).alias("n_subjects"))
 

@@ -168,6 +168,6 @@ def q_src_filing_text(spark, sf):
     from ..session import scratch_path
     from ..sources.filings import pack_filings, read_filing_records
     path = scratch_path(spark, f"filings-{uuid.uuid4().hex[:12]}")
-    pack_filings(filing_texts(spark, sf), path, n_files=4)
+    pack_filings(filing_texts(spark, sf), path)
     t = X.with_xml(read_filing_records(spark, path), raw="raw", keep=["file_path"])
     return t.select("file_path", (F.coalesce(F.col("__xml"), F.lit("")) != "").alias("has_xml"))

@@ -25,7 +25,14 @@ def _index(spark, sf):
 @register("src_master_index", with_ctes(
     "select cik, company, form_type, date, file_path, year, quarter from ix", **_I))
 def q_src_master_index(spark, sf):
-    return _index(spark, sf)
+    """Index files landed per quarter as text, read by the index reader."""
+    import uuid
+
+    from ..session import scratch_path
+    path = scratch_path(spark, f"index-{uuid.uuid4().hex[:12]}")
+    index_lines(spark, sf).write.partitionBy("year", "quarter").text(path)
+    return MI.read_master_index(spark, path).select(
+        "cik", "company", "form_type", "date", "file_path", "year", "quarter")
 
 
 @register("filter_form_type", with_ctes(
@@ -59,9 +66,11 @@ def q_index_messages(spark, sf):
 
 @register("html_links",
           "select distinct regexp_replace(h, '^/Archives/', '') as link from "
-          "(select unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as h from pages)")
+          "(select unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) as h from pages) "
+          "where h like '%a'")
 def q_html_links(spark, sf):
-    return page_links(read_table(spark, sf, "pages"))
+    """Anchor targets with a suffix, as the listing pages are searched for texts."""
+    return page_links(read_table(spark, sf, "pages"), suffix="a")
 
 
 @register("union_distinct_links",
@@ -77,7 +86,16 @@ def q_union_distinct_links(spark, sf):
 
 @register("src_price_bars", with_ctes("select ticker, date, close from p", p=PRICES_SQL))
 def q_src_price_bars(spark, sf):
-    return price_bars(spark, sf).select("date", "close", "ticker")
+    """Bars landed as CSV, read by the bar reader, stored sorted and read back."""
+    import os
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources import prices as PR
+    root = scratch_path(spark, f"bars-{uuid.uuid4().hex[:12]}")
+    PR.write_bars_csv(price_bars(spark, sf), os.path.join(root, "landed"))
+    PR.write_bars(PR.read_bars_csv(spark, os.path.join(root, "landed")), os.path.join(root, "bars"))
+    return spark.read.parquet(os.path.join(root, "bars")).select("date", "close", "ticker")
 
 
 def _stored_prices(spark, sf):
@@ -118,30 +136,62 @@ def q_refresh_prices(spark, sf):
     return merge_upsert(stored, new_bars(bars, stored), spec, 1).drop("_batch")
 
 
+def _store(spark, name, key):
+    """A store of one fresh table in the shared folder."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.catalog import FeatureStore, load_catalog
+    return FeatureStore(spark, scratch_path(spark, f"store-{uuid.uuid4().hex[:12]}"),
+                        load_catalog({name: {"primary_key": key, "event_time": "ts"}}, 1))
+
+
 @register("fg_upsert",
           "select event_id, user_id, ts, event_type, value from (select *, row_number() over "
           "(partition by user_id order by ts desc, event_id desc) as rn from events) where rn = 1")
 def q_fg_upsert(spark, sf):
-    """Three upsert batches (one per ten days of events) into a table keyed by
-    user: the latest event per user wins."""
+    """Three batches (one per ten days of events) upserted into a stored table
+    keyed by user, and the table read back."""
     e = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
     day = F.dayofmonth("ts")
-    batches = [e.where(day <= 10), e.where((day > 10) & (day <= 20)), e.where(day > 20)]
-    spec = TableSpec("user_latest", 1, ("user_id",), "ts")
-    table = None
-    for i, b in enumerate(batches):
+    store = _store(spark, "user_latest", ["user_id"])
+    for b in (e.where(day <= 10), e.where((day > 10) & (day <= 20)), e.where(day > 20)):
         # within a batch the event id breaks ties between equal times
-        b = latest_by_key(b, spec.primary_key, spec.event_time, order_extra=("event_id",))
-        table = merge_upsert(table, b, spec, i)
-    return table.drop("_batch")
+        store.upsert("user_latest", latest_by_key(b, ("user_id",), "ts", order_extra=("event_id",)))
+    return store.read("user_latest").select(*e.columns)
 
 
 @register("fg_read", "select event_id, user_id, value from events where event_type = 'purchase'")
 def q_fg_read(spark, sf):
     """Stored-table read with a caller predicate (pushed into the scan)."""
-    e = read_table(spark, sf, "events")
-    return e.where((lambda fg: fg["event_type"] == "purchase")(e)).select("event_id", "user_id",
-                                                                          "value")
+    store = _store(spark, "events", ["event_id", "ts"])
+    store.upsert("events", read_table(spark, sf, "events").select(
+        "event_id", "user_id", "ts", "event_type", "value"))
+    return store.read("events", lambda fg: fg["event_type"] == "purchase").select(
+        "event_id", "user_id", "value")
+
+
+@register("fg_catalog", "select 'events_by_user' as name, 2 as version, count(distinct user_id) as n "
+          "from events union all select 'events_by_type', 2, count(distinct event_type) from events")
+def q_fg_catalog(spark, sf):
+    """Two tables of one catalog, written and read through their references: the
+    name defaults to the reference key, the version is injected."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.catalog import FeatureStore, load_catalog
+    catalog = load_catalog({"u": {"name": "events_by_user", "primary_key": ["user_id"],
+                                  "event_time": "ts"},
+                            "events_by_type": {"primary_key": ["event_type"], "event_time": "ts"}}, 2)
+    store = FeatureStore(spark, scratch_path(spark, f"store-{uuid.uuid4().hex[:12]}"), catalog)
+    e = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    out = None
+    for ref, spec in catalog.items():
+        store.upsert(ref, e)
+        one = store.read(ref).agg(F.lit(spec.name).alias("name"), F.lit(spec.version).alias("version"),
+                                  F.count("*").alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @register("route_by_mode", with_ctes(
@@ -158,8 +208,9 @@ def q_route_by_mode(spark, sf):
     run = ST.run_dir(spark, "route")
     m = raw_messages(spark, sf).withColumn("training", F.col("event_type") == "purchase")
     path = os.path.join(run, "in")
-    ST.land(m, path, files_by="event_type", n_files=3)
-    stream = TP.read_topic_stream(spark, path=path, schema=m.schema, batch_size=1)
+    ST.land(m, path)
+    stream = TP.read_topic_stream(spark, path=path, schema=m.schema,
+                                  batch_size=ST.files_per_batch(spark, path))
     train_out, infer_out = os.path.join(run, "train"), os.path.join(run, "infer")
 
     def sink(batch, batch_id):

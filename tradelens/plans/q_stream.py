@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import form4 as X
 from ..operators import clean as C
 from ..sources import topics as TP
-from ..sources.catalog import TableSpec, latest_by_key
+from ..sources.catalog import FeatureStore, load_catalog
 from ..sources.tables import read_table
 from ..streaming import streams as ST
 from .filing_docs import PARSED_SQL, landed_filing_texts
@@ -28,18 +28,15 @@ from .registry import register
 _M = dict(m=MESSAGES_SQL)
 
 
-def _landed_messages(spark, sf, run, *, chunk_days=10):
-    """Topic messages landed as one file per ten days of events
-    (``chunk=N`` directories, one file each)."""
-    m = raw_messages(spark, sf).withColumn(
-        "chunk", F.floor((F.dayofmonth("ts") - 1) / chunk_days).cast("int"))
-    path = os.path.join(run, "in")
-    m.repartition("chunk").write.mode("overwrite").partitionBy("chunk").parquet(path)
-    return path, m.schema
+def _landed_messages(spark, sf, run):
+    """Topic messages landed as files that many tasks read."""
+    m = raw_messages(spark, sf)
+    return ST.land(m, os.path.join(run, "in")), m.schema
 
 
-def _stream(spark, path, schema, batch_files=1):
-    return TP.read_topic_stream(spark, path=path, schema=schema, batch_size=batch_files)
+def _stream(spark, path, schema, batch_files=None):
+    return TP.read_topic_stream(spark, path=path, schema=schema,
+                                batch_size=batch_files or ST.files_per_batch(spark, path))
 
 
 @register("topic_read_bounded", with_ctes("select event_id, key, value from m", **_M))
@@ -54,17 +51,21 @@ def q_topic_read_bounded(spark, sf):
 
 
 @register("stream_rate_limit", with_ctes(
-    "select count(*) as n from m group by floor((dayofmonth(ts) - 1) / 10)", **_M))
+    "select count(*) as n_rows, true as several_batches, true as within_limit from m", **_M))
 def q_stream_rate_limit(spark, sf):
-    """Rows per micro-batch with one landed file per trigger: one batch per
-    ten-day file (>= 2 batches)."""
+    """A bounded number of landed files per trigger: all rows arrive, in several
+    batches, none of which takes more files than the limit."""
     run = ST.run_dir(spark, "rate")
     path, schema = _landed_messages(spark, sf, run)
     out = os.path.join(run, "out")
-    ST.drain(_stream(spark, path, schema).select("event_id"), ST.batch_sink(out),
-             os.path.join(run, "ckpt"))
-    return (ST.read_batches(spark, out).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
-            .select("n"))
+    limit = ST.files_per_batch(spark, path)
+    stream = _stream(spark, path, schema, limit).select(
+        "event_id", F.col("_metadata.file_path").alias("file"))
+    ST.drain(stream, ST.batch_sink(out), os.path.join(run, "ckpt"))
+    per_batch = ST.read_batches(spark, out).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("files"))
+    return per_batch.agg(F.sum("n").alias("n_rows"), (F.count("*") > 1).alias("several_batches"),
+                         (F.max("files") <= limit).alias("within_limit"))
 
 
 @register("topic_read_at_least_once", with_ctes(
@@ -112,19 +113,18 @@ def q_topic_write(spark, sf):
 
 @register("stream_dedup", "select distinct event_id from events")
 def q_stream_dedup(spark, sf):
-    """Every click is re-delivered in the next file; the watermark dedup keeps
-    one copy per message id with bounded state."""
+    """Every click is delivered twice; the watermark dedup keeps one copy per
+    message id. Landed files are picked up in arbitrary order, so the delay is the
+    span of the landed event times: no row can fall behind the watermark. In
+    production it is the re-delivery window of the topic."""
     run = ST.run_dir(spark, "dedup")
     e = read_table(spark, sf, "events").select("event_id", "ts", "event_type")
-    chunk = F.floor((F.dayofmonth("ts") - 1) / 10).cast("int")
-    dup = e.where(F.col("event_type") == "click").withColumn("chunk", chunk + 1)
-    landed = e.withColumn("chunk", chunk).unionByName(dup)
-    path = os.path.join(run, "in")
-    ST.land(landed, path, files_by="chunk", n_files=5)
+    landed = e.unionByName(e.where(F.col("event_type") == "click"))
+    path = ST.land(landed, os.path.join(run, "in"))
     stream = _stream(spark, path, landed.schema)
-    # landed files are picked up in arbitrary order, so the delay covers the
-    # whole month of events; in production it is the re-delivery window
-    deduped = ST.dedup_within_watermark(stream, key=["event_id"], ts="ts", delay="31 days")
+    span = e.agg(F.datediff(F.max("ts"), F.min("ts"))).first()[0] or 0
+    deduped = ST.dedup_within_watermark(stream, key=["event_id"], ts="ts",
+                                        delay=f"{span + 1} days")
     out = os.path.join(run, "out")
     ST.drain(deduped.select("event_id"), ST.batch_sink(out), os.path.join(run, "ckpt"))
     return ST.read_batches(spark, out).drop("batch_id")
@@ -165,77 +165,102 @@ def _store_clean(batch):
 
 @register("stream_drain_to_table", with_ctes(_DRAIN_SQL, **_M))
 def q_stream_drain_to_table(spark, sf):
-    """Consume until empty; clean, type and upsert each batch into a table
-    keyed by user (event time = date, ties by key)."""
+    """Consume until empty; clean, type and upsert each batch into a stored table
+    keyed by user. Files arrive in any order, so this table keeps the latest event
+    (date, then key) over all batches; replaying a batch changes nothing."""
     run = ST.run_dir(spark, "drain")
     path, schema = _landed_messages(spark, sf, run)
-    table = os.path.join(run, "table")
-    spec = TableSpec("user_state", 1, ("user_id",), "date")
-
-    def previous(batch_id):
-        """Newest snapshot written by an earlier batch, found in the table
-        folder itself (so a restarted query picks up where it stopped)."""
-        try:
-            snaps = spark.read.parquet(table).where(F.col("snapshot") < batch_id)
-        except Exception:  # noqa: BLE001 - no snapshot written yet
-            return None
-        last = snaps.agg(F.max("snapshot")).first()[0]
-        return None if last is None else snaps.where(F.col("snapshot") == last).drop("snapshot")
+    store = FeatureStore(spark, run, load_catalog({"user_state": {
+        "primary_key": ["user_id"], "event_time": "moment", "conflict": "event_time"}}, 1))
 
     def sink(batch, batch_id):
-        clean = latest_by_key(_store_clean(batch), spec.primary_key, spec.event_time,
-                              order_extra=("key",))
-        prev = previous(batch_id)
-        if prev is not None:
-            clean = prev.unionByName(clean)
-        # latest date per user; equal dates fall back to the key, in and
-        # across batches
-        merged = latest_by_key(clean, spec.primary_key, spec.event_time, order_extra=("key",))
-        merged.write.mode("overwrite").parquet(os.path.join(table, f"snapshot={batch_id}"))
+        rows = _store_clean(batch).withColumn("moment", F.struct("date", "key"))
+        store.upsert("user_state", rows, batch_id)
 
     ST.drain(_stream(spark, path, schema), sink, os.path.join(run, "ckpt"))
-    snaps = spark.read.parquet(table)
-    last = snaps.agg(F.max("snapshot")).first()[0]
-    return snaps.where(F.col("snapshot") == last).drop("snapshot")
+    return store.read("user_state").drop("moment")
+
+
+FILING_NOW, FILING_DAYS = "2001-05-15", 1500
 
 
 @register("stream_parse_filings", with_ctes(
-    "select link, shares, derivative, rule105b1, date from parsed", parsed=PARSED_SQL))
+    "select link, shares, derivative, rule105b1, date, sha256(concat(link, remaining_shares, "
+    "case when derivative then '1' else '0' end)) as key from parsed join orders "
+    "on o_orderkey = l_orderkey where parsed.o_orderpriority in ('1-URGENT', '2-HIGH') and "
+    f"o_orderdate >= timestamp '{FILING_NOW}' - interval {FILING_DAYS} day", parsed=PARSED_SQL))
 def q_stream_parse_filings(spark, sf):
-    """Landed filing texts -> parse -> transactions, one file per trigger."""
+    """Path messages (one per indexed form 4) -> stale filter -> join with the
+    landed texts -> parse -> publish one message per transaction; the query reads
+    the published messages back."""
+    from ..sources import master_index as MI
+    from .index_docs import index_lines
     run = ST.run_dir(spark, "parse")
     texts = landed_filing_texts(spark, sf)
-    path = os.path.join(run, "in")
-    ST.land(texts.withColumn("part", F.pmod(F.hash("file_path"), F.lit(4))), path,
-            files_by="part", n_files=4)
-    stream = _stream(spark, path, spark.read.parquet(path).schema)
-    tx = X.explode_transactions(X.parse_filings(stream))
-    out = os.path.join(run, "out")
-    ST.drain(tx.select("link", "shares", "derivative", "rule105b1", "date"), ST.batch_sink(out),
-             os.path.join(run, "ckpt"))
-    return ST.read_batches(spark, out).drop("batch_id")
+    index = MI.filter_form_type(MI.parse_index_lines(index_lines(spark, sf)), "4")
+    paths = MI.index_messages(index).select("file_path", "timestamp", "key")
+    path = ST.land(paths, os.path.join(run, "in"))
+    out = os.path.join(run, "topic")
+    record = ("link", "shares", "derivative", "rule105b1", "date", "key")
+
+    def sink(batch, batch_id):
+        fresh = MI.filter_recent(batch, ts_ms=F.col("timestamp"), now=FILING_NOW,
+                                 days_back=FILING_DAYS).select("file_path")
+        tx = X.with_message_fields(X.explode_transactions(X.parse_filings(
+            texts.join(fresh, "file_path", "left_semi"))))
+        TP.to_message(tx.select(*record)).write.mode("overwrite").json(
+            os.path.join(out, f"batch_id={batch_id}"))
+
+    ST.drain(_stream(spark, path, paths.schema), sink, os.path.join(run, "ckpt"))
+    sent = spark.read.schema("key string, value string").json(out)
+    good, _ = TP.decode_json(sent, "link string, shares string, derivative boolean, "
+                                   "rule105b1 boolean, date string")
+    return good.select(*record)
+
+
+_DEAD = ("select 'missing_mcap' as kind, null as key, upper(trim(ticker)) as subject, null as exchange, "
+         "null as sic from e where _mcap_from_cache and market_cap is null union all "
+         "select 'missing_sic', null, company_cik, null, null from e where sic is null union all "
+         "select 'missing_exchange', null, company_cik, null, null from e where exchange is null")
 
 
 @register("stream_enrich", with_ctes(
-    "select key, company_cik, exchange, sic from e", **_ENRICH_CTES))
+    "select 'message' as kind, key, company_cik as subject, exchange, sic from e union all "
+    + _DEAD, **_ENRICH_CTES))
 def q_stream_enrich(spark, sf):
-    """Stream-static enrichment: streamed transactions joined to static
-    dimensions (read once per batch)."""
+    """Stream-static enrichment: streamed transactions meet the dimensions, which
+    are landed once; every batch publishes its messages and appends its failures
+    to the dead-letter table, both under its batch id. The query reads back both."""
     from . import q_enrich as QE
     from ..operators import enrich as EN
     from .proxies import transactions
     run = ST.run_dir(spark, "enrich")
     tx = transactions(spark, sf).select("key", "ticker", "company_cik", "date")
-    path = os.path.join(run, "in")
-    ST.land(tx, path, files_by="ticker", n_files=4)
-    stream = _stream(spark, path, tx.schema)
-    e = EN.enrich_market_cap(stream, QE.cached_mcaps(spark, sf), QE.recent_mcaps(spark, sf),
-                             cutoff=QE.CUTOFF)
-    e = EN.enrich_exchange_sic(e, QE.cik_map(spark, sf), QE.exchange_fallback(spark, sf))
-    out = os.path.join(run, "out")
-    ST.drain(e.select("key", "company_cik", "exchange", "sic"), ST.batch_sink(out),
-             os.path.join(run, "ckpt"))
-    return ST.read_batches(spark, out).drop("batch_id")
+    path = ST.land(tx, os.path.join(run, "in"))
+    dims = []
+    for build in (QE.cached_mcaps, QE.recent_mcaps, QE.cik_map, QE.exchange_fallback):
+        at = os.path.join(run, build.__name__)
+        build(spark, sf).write.parquet(at)
+        dims.append(spark.read.parquet(at))
+    topic, dead = os.path.join(run, "topic"), os.path.join(run, "dead")
+
+    def sink(batch, batch_id):
+        e = EN.enrich_exchange_sic(EN.enrich_market_cap(batch, dims[0], dims[1], cutoff=QE.CUTOFF),
+                                   dims[2], dims[3])
+        TP.to_message(e.select("key", "company_cik", "exchange", "sic")).write.mode(
+            "overwrite").json(os.path.join(topic, f"batch_id={batch_id}"))
+        EN.dead_letters(e).write.mode("overwrite").parquet(
+            os.path.join(dead, f"batch_id={batch_id}"))
+
+    ST.drain(_stream(spark, path, tx.schema), sink, os.path.join(run, "ckpt"))
+    sent, _ = TP.decode_json(spark.read.schema("key string, value string").json(topic),
+                             "company_cik string, exchange string, sic string")
+    none = F.lit(None).cast("string")
+    return sent.select(F.lit("message").alias("kind"), "key", F.col("company_cik").alias("subject"),
+                       "exchange", "sic").unionByName(
+        ST.read_batches(spark, dead).select(
+            "kind", none.alias("key"), F.coalesce("ticker", "cik").alias("subject"),
+            none.alias("exchange"), none.alias("sic")))
 
 
 @register("stream_poll_interval", with_ctes(
@@ -243,16 +268,16 @@ def q_stream_enrich(spark, sf):
     ix=INDEX_SQL))
 def q_stream_poll_interval(spark, sf):
     """Live polling of landed index quarters: a processing-time trigger every
-    second, stopped after one poll per landed quarter file."""
+    second, stopped when every landed file has gone through the sink."""
     from ..sources import master_index as MI
     from .index_docs import index_lines
     run = ST.run_dir(spark, "poll")
     lines = index_lines(spark, sf)
     path = os.path.join(run, "in")
-    lines.repartition("year", "quarter").write.mode("overwrite") \
-        .partitionBy("year", "quarter").parquet(path)
-    n_files = lines.select("year", "quarter").distinct().count()
-    per_poll = max(1, n_files // 3 + 1)
+    # rows are dealt over the tasks by content: a quarter spans several files
+    lines.repartition("value").write.mode("overwrite").partitionBy("year", "quarter").parquet(path)
+    n_files = ST.files_per_batch(spark, path, 1)
+    per_poll = ST.files_per_batch(spark, path, 3)
     polls = -(-n_files // per_poll)  # every landed file is consumed by some poll
     stream = _stream(spark, path, lines.schema, batch_files=per_poll)
     rows = MI.filter_form_type(MI.parse_index_lines(stream), "4")

@@ -64,7 +64,7 @@ def daily_sql(src: str) -> str:
   {first},
   {sums},
   {anys},
-  cast(sum(price::decimal(18,2)) as double) / count(price) as price
+  cast(sum(price::varchar::decimal(38,18))::varchar as double) / count(price) as price
   from {src} where ticker is not null and date is not null group by ticker, date) g
 {modes}"""
 
@@ -170,10 +170,22 @@ def q_agg_mode_first(spark, sf):
 
 
 @register("agg_mean", with_ctes(
-    "select ticker, date, cast(sum(price::decimal(18,2)) as double) / count(price) as price "
+    "select ticker, date, cast(sum(price::varchar::decimal(38,18))::varchar as double) / count(price) as price "
     "from tx group by ticker, date", **_RAW))
 def q_agg_mean(spark, sf):
-    return policy_aggregate(transactions(spark, sf), {"price": "mean"}, mean_scale=2)
+    return policy_aggregate(transactions(spark, sf), {"price": "mean"})
+
+
+@register("agg_mean_subcent", with_ctes(
+    "select ticker, date, cast(sum(((cast(round(price * 100) as bigint) * 100 + shares * 37 % 97) "
+    "/ 10000::double)::varchar::decimal(38,18))::varchar as double) / count(price) as price from tx "
+    "group by ticker, date", **_RAW))
+def q_agg_mean_subcent(spark, sf):
+    """The mean over prices of four decimals, as filings carry them."""
+    cents = F.round(F.col("price") * 100).cast("bigint")
+    tx = transactions(spark, sf).withColumn(
+        "price", (cents * 100 + F.col("shares") * 37 % 97) / F.lit(10000.0))
+    return policy_aggregate(tx, {"price": "mean"})
 
 
 @register("asof_backward", with_ctes(

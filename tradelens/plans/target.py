@@ -128,10 +128,11 @@ def build_inference_features(tx: DataFrame, rt4: DataFrame, *,
 # -> primary key and event time).
 TARGET_CATALOG = {
     "p": {"primary_key": ["ticker", "date"], "event_time": "date"},
-    "bt4": {"primary_key": ["key"], "event_time": "date"},
-    "bi4": {"primary_key": ["key"], "event_time": "date"},
-    "rt4": {"primary_key": ["key"], "event_time": "date"},
-    "bir4": {"primary_key": ["key"], "event_time": "date"},
+    # a transaction's key comes from its filing, whose date does not change
+    "bt4": {"primary_key": ["key"], "event_time": "date", "stable_event_time": True},
+    "bi4": {"primary_key": ["key"], "event_time": "date", "stable_event_time": True},
+    "rt4": {"primary_key": ["key"], "event_time": "date", "stable_event_time": True},
+    "bir4": {"primary_key": ["key"], "event_time": "date", "stable_event_time": True},
 }
 
 

@@ -50,11 +50,15 @@ def build_session(master: str | None = None, app: str = "tradelens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and registered, so production jobs always use the shared location.
+    Only when the setting is absent in a local session (tests) a scratch folder is
+    created and registered; on a cluster a folder of the driver's own would be
+    invisible to the executors, so an absent setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="tradelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -1,16 +1,23 @@
 """Keyed, versioned tables ("feature groups") on plain Parquet.
 
-A table spec is ``{name, version, primary_key, event_time}``; its data lives
-at ``<root>/<name>_v<version>/data``, partitioned into ``bucket=<b>`` by a hash
-of the primary key. Upsert semantics: for every primary key the row with the
-latest event time wins (ties: the later batch). No table format with MERGE is
-installed, so an upsert reads only the buckets its batch touches (partition
-pruning), merges, stages the result and replaces exactly those buckets with a
-dynamic partition overwrite: its cost follows the batch, not the table. The
-merge is idempotent (merging a batch twice gives the same rows), so a job that
-dies mid-write is repaired by running the same batch again.
-
-The merge is an aggregate, not a window: ``max_by(row, (event_time, batch))``
+A table spec is ``{name, version, primary_key, event_time}``; its data lives at
+``<root>/<name>_v<version>/data`` in ``period=<yyyy-MM>/bucket=<b>`` folders. The
+bucket is a hash of the primary key, the number of buckets follows the size of
+the first batch (``rows_per_bucket``, or the option ``buckets``). The period is
+the month of the event time where that is part of the key, or where the option
+``stable_event_time`` says that a key never changes it; else one period holds
+all. So a batch of recent rows touches the recent months only.
+
+Upsert: for every primary key the last batch wins (an upsert overwrites, also by
+a correction with an older event time); within a batch the latest event time
+does. The option ``conflict: event_time`` keeps the latest event time over all
+batches instead. No table format with MERGE is installed, so an upsert reads only
+the folders its batch touches, merges, stages the result and replaces exactly
+those by dynamic partition overwrite. The merge is idempotent, so a job that
+dies mid-write is repaired by running the same batch again. One writer a table
+at a time; batches land and stage in folders of their own.
+
+The merge is an aggregate, not a window: ``max_by(row, (batch, event_time))``
 per key with map-side partial aggregation, so a hot key (many updates of one
 key in a batch) is collapsed before the shuffle instead of sorted in one task.
 """
@@ -18,16 +25,19 @@ key in a batch) is collapsed before the shuffle instead of sorted in one task.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from .tables import is_missing_path
 
 BATCH = "_batch"
-BUCKET = "bucket"
-DEFAULT_BUCKETS = 64
+BUCKET, PERIOD = "bucket", "period"
+ROWS_PER_BUCKET, MAX_BUCKETS = 1_000_000, 4096
 
 
 @dataclass(frozen=True)
@@ -38,6 +48,16 @@ class TableSpec:
     event_time: str
     options: Mapping[str, object] = field(default_factory=dict)
 
+    @property
+    def by_period(self) -> bool:
+        return bool(self.options.get("stable_event_time", self.event_time in self.primary_key))
+
+    @property
+    def rank(self) -> tuple[str, ...]:
+        """What decides between rows of one key, most important first."""
+        return ((self.event_time, BATCH) if self.options.get("conflict") == "event_time"
+                else (BATCH, self.event_time))
+
     def location(self, root: str) -> str:
         return os.path.join(root, f"{self.name}_v{self.version}")
 
@@ -63,10 +83,16 @@ def load_catalog_yaml(path: str, version: int) -> dict[str, TableSpec]:
 def latest_by_key(rows: DataFrame, primary_key: Sequence[str], event_time: str,
                   order_extra: Sequence[str] = (BATCH,)) -> DataFrame:
     """One row per key: the one with the greatest (event_time, *order_extra)."""
+    return greatest_by_key(rows, primary_key, (
+        event_time, *[o for o in order_extra if o in rows.columns]))
+
+
+def greatest_by_key(rows: DataFrame, primary_key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the greatest ``order`` columns."""
     payload = [c for c in rows.columns if c not in primary_key]
-    rank = F.struct(*[F.col(c) for c in (event_time, *[o for o in order_extra if o in rows.columns])])
     agg = rows.groupBy(*primary_key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in payload]), rank).alias("__row"))
+        F.max_by(F.struct(*[F.col(c) for c in payload]),
+                 F.struct(*[F.col(c) for c in order])).alias("__row"))
     return agg.select(*primary_key, *[F.col(f"__row.{c}").alias(c) for c in payload]) \
               .select(*rows.columns)
 
@@ -80,7 +106,7 @@ def merge_upsert(current: DataFrame | None, batch: DataFrame, spec: TableSpec,
     else:
         cur = current if BATCH in current.columns else current.withColumn(BATCH, F.lit(-1).cast("bigint"))
         merged = cur.unionByName(new, allowMissingColumns=True)
-    return latest_by_key(merged, spec.primary_key, spec.event_time)
+    return greatest_by_key(merged, spec.primary_key, spec.rank)
 
 
 class FeatureStore:
@@ -96,31 +122,40 @@ class FeatureStore:
     def _seq_file(self, spec: TableSpec) -> str:
         return os.path.join(spec.location(self.root), "_LAST_BATCH")
 
-    def _last_batch(self, spec: TableSpec) -> int | None:
+    def _state(self, spec: TableSpec) -> tuple[int, int] | None:
+        """(last batch id, number of buckets), None for a table not written yet."""
         try:
             txt = self.spark.read.text(self._seq_file(spec)).first()
         except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            if is_missing_path(e):
                 return None
             raise
-        return int(txt[0]) if txt else None
+        return (int(txt[0].split()[0]), int(txt[0].split()[1])) if txt else None
 
-    def _write_seq(self, spec: TableSpec, n: int) -> None:
-        self.spark.createDataFrame([(str(n),)], "value string").coalesce(1) \
+    def _write_state(self, spec: TableSpec, last: int, buckets: int) -> None:
+        self.spark.createDataFrame([(f"{last} {buckets}",)], "value string").coalesce(1) \
             .write.mode("overwrite").text(self._seq_file(spec))
 
     @staticmethod
-    def _bucket(spec: TableSpec) -> Column:
-        n = int(spec.options.get("buckets", DEFAULT_BUCKETS))
-        return F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(n)).cast("int")
+    def _placed(df: DataFrame, spec: TableSpec, buckets: int) -> DataFrame:
+        """The rows with the folder each belongs to."""
+        period = F.coalesce(F.date_format(spec.event_time, "yyyy-MM"), F.lit("none")) \
+            if spec.by_period else F.lit("all")
+        return df.withColumn(PERIOD, period).withColumn(BUCKET, F.pmod(
+            F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(buckets)).cast("int"))
+
+    def _stored(self, spec: TableSpec) -> DataFrame:
+        df = self.spark.read.parquet(self._data(spec))
+        # folder names are read back with inferred types
+        return df.withColumn(PERIOD, F.col(PERIOD).cast("string"))
 
     # -- API ------------------------------------------------------------------
     def read(self, ref: str, where: Callable[[DataFrame], Column] | str | None = None) -> DataFrame:
         """Current rows; ``where`` (Column builder or SQL) is pushed down."""
         spec = self.catalog[ref]
-        if self._last_batch(spec) is None:
+        if self._state(spec) is None:
             raise FileNotFoundError(f"table {spec.name} v{spec.version} does not exist")
-        df = self.spark.read.parquet(self._data(spec)).drop(BATCH, BUCKET)
+        df = self._stored(spec).drop(BATCH, BUCKET, PERIOD)
         if where is None:
             return df
         return df.where(where if isinstance(where, str) else where(df))
@@ -132,7 +167,7 @@ class FeatureStore:
         except FileNotFoundError:
             return self.spark.createDataFrame([], schema)
         except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            if is_missing_path(e):
                 return self.spark.createDataFrame([], schema)
             raise
 
@@ -140,26 +175,38 @@ class FeatureStore:
         """Insert / overwrite by primary key; empty input is a no-op.
         Returns the batch id used (None when nothing was written)."""
         spec = self.catalog[ref]
-        # The batch is read three times below (empty check, touched buckets,
-        # merge): land it once in the shared folder instead of recomputing it.
-        incoming = os.path.join(spec.location(self.root), "_incoming")
-        batch.withColumn(BUCKET, self._bucket(spec)).write.mode("overwrite").parquet(incoming)
-        keyed = self.spark.read.parquet(incoming)
-        if keyed.isEmpty():
+        # The batch is read several times below (count, touched folders, merge):
+        # land it once in the shared folder instead of recomputing it.
+        work = os.path.join(spec.location(self.root), f"_work-{uuid.uuid4().hex}")
+        incoming, stage = os.path.join(work, "incoming"), os.path.join(work, "staging")
+        batch.write.parquet(incoming)
+        keyed = self.spark.read.schema(batch.schema).parquet(incoming)
+        n = keyed.count()
+        if not n:
             return None
-        last = self._last_batch(spec)
+        last, buckets = self._state(spec) or (None, None)
+        if buckets is None:
+            per = int(spec.options.get("rows_per_bucket", ROWS_PER_BUCKET))
+            buckets = int(spec.options.get("buckets", min(MAX_BUCKETS, -(-n // per))))
         bid = (0 if last is None else last + 1) if batch_id is None else batch_id
-        # the touched bucket ids: at most the bucket count, so a bounded collect
-        touched = [r[0] for r in keyed.select(BUCKET).distinct().collect()]
+        keyed = self._placed(keyed, spec, buckets)
         current = None
         if last is not None:
-            current = self.spark.read.parquet(self._data(spec)).where(F.col(BUCKET).isin(touched))
+            # the touched folders: at most periods of the batch x buckets
+            touched: dict[str, list[int]] = {}
+            for r in keyed.select(PERIOD, BUCKET).distinct().collect():
+                touched.setdefault(r[0], []).append(r[1])
+            hit = F.lit(False)
+            for period, some in sorted(touched.items()):
+                here = F.col(PERIOD) == period
+                hit = hit | (here if len(some) == buckets else here & F.col(BUCKET).isin(some))
+            current = self._stored(spec).where(hit)
         merged = merge_upsert(current, keyed, spec, bid)
-        # stage first: the touched buckets are read and replaced by one job
-        stage = os.path.join(spec.location(self.root), "_staging")
-        merged.write.mode("overwrite").parquet(stage)
-        (self.spark.read.parquet(stage).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET)
+        # stage first: the touched folders are read and replaced by one job
+        merged.write.parquet(stage)
+        (self.spark.read.schema(merged.schema).parquet(stage).repartition(PERIOD, BUCKET)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", 4 * ROWS_PER_BUCKET).partitionBy(PERIOD, BUCKET)
          .parquet(self._data(spec)))
-        self._write_seq(spec, bid if last is None else max(last, bid))
+        self._write_state(spec, bid if last is None else max(last, bid), buckets)
         return bid

@@ -20,7 +20,8 @@ def read_filing_files(spark: SparkSession, path: str, *, root: str | None = None
     df = spark.read.text(path, wholetext=True)
     fp = F.col("_metadata.file_path")
     if root:
-        fp = F.regexp_replace(fp, "^(file:)?" + root.rstrip("/") + "/", "")
+        # quoted: the root is a path, not a pattern
+        fp = F.regexp_replace(fp, r"^(file:(//)?)?\Q" + root.rstrip("/") + r"\E/", "")
     return df.select(fp.alias("file_path"), F.col("value").alias("raw"))
 
 

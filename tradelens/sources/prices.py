@@ -38,6 +38,11 @@ def new_bars(bars: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def write_bars(bars: DataFrame, path: str) -> None:
-    """Sorted by ticker, date inside each file (sort only at the sink)."""
-    bars.repartition("ticker").sortWithinPartitions("ticker", "date") \
+    """Range-partitioned and sorted by (ticker, date): a heavy ticker spans files."""
+    bars.repartitionByRange("ticker", "date").sortWithinPartitions("ticker", "date") \
         .write.mode("overwrite").parquet(path)
+
+
+def write_bars_csv(bars: DataFrame, path: str) -> None:
+    """Bars as landed CSV files with a header."""
+    bars.select("ticker", "date", "close").write.mode("overwrite").option("header", True).csv(path)
