@@ -82,6 +82,23 @@ def cast_date_or_reject(df: DataFrame, col: str = "date") -> DataFrame:
     return df.withColumn(col, S.parse_date_with_suffix(col)).where(F.col(col).isNotNull())
 
 
+# Types of the stored transaction columns
+NUMERIC = {"shares": "int", "price": "double", "remaining_shares": "int", "direct_holding": "bigint",
+           "indirect_holding": "bigint", "market_cap": "bigint", "timestamp": "bigint"}
+FLAGS = ("rule105b1", "derivative", "equity_swap")
+
+
+def clean_transactions(tx: DataFrame) -> DataFrame:
+    """The store writer's steps, on the columns present: sentinels to null, exact
+    duplicates and rows with a null dropped, tickers normalised, flags parsed,
+    numbers and dates typed or rejected."""
+    out = normalize_text_keys(dropna_any(dedup_exact(null_sentinels(tx))), ("ticker",))
+    strings = set(string_columns(out))
+    out = parse_bool_flags(out, [c for c in FLAGS if c in strings])
+    out = cast_numeric_or_reject(out, {c: t for c, t in NUMERIC.items() if c in out.columns})
+    return cast_date_or_reject(out, "date")
+
+
 def assert_all_equal(df: DataFrame, col: str, value: str, *, mode: str = "quarantine",
                      name: str = "direction_check") -> tuple[DataFrame, DataFrame]:
     """Validate ``col == value`` (null fails). Returns (good, bad).

@@ -15,13 +15,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 NUMERIC = (T.DoubleType, T.FloatType, T.LongType, T.IntegerType, T.ShortType, T.DecimalType)
 CATEGORICAL = (T.StringType, T.BooleanType)
 
@@ -116,69 +117,68 @@ def binary_flags(df: DataFrame, features: Sequence[str]) -> DataFrame:
                            if isinstance(df.schema[c].dataType, T.BooleanType)})
 
 
-def build_pipeline(df: DataFrame, *, features: Sequence[str], target: str,
-                   estimator: str = "linear", seed: int = 42):
-    """Pipeline over ``binary_flags(df)``: numeric columns z-scored (fitted on
-    training data), strings one-hot, 0/1 flags passed through."""
+def feature_stages(df: DataFrame, features: Sequence[str]) -> list:
+    """Stages over ``binary_flags(df)`` that end in a ``features`` vector: numeric
+    columns z-scored (fitted on training data), strings one-hot, 0/1 flags as they
+    are. Spark ML's scaler divides by the sample standard deviation, the plain
+    ``scale_continuous`` by the population's: a constant factor near 1."""
     types = {f.name: f.dataType for f in df.schema.fields}
     flags = [f"{c}__f" for c in features if isinstance(types[c], T.BooleanType)]
     num, cat = split_types(df, [c for c in features if not isinstance(types[c], T.BooleanType)])
     stages, ohe_cols = categorical_stages(cat)
     raw = VectorAssembler(inputCols=num, outputCol="__num", handleInvalid="keep")
-    # Spark ML's scaler divides by the sample std; ``scale_continuous`` is the
-    # population form used for plain-column output
     scaler = StandardScaler(inputCol="__num", outputCol="__num_s", withMean=True, withStd=True)
     assemble = VectorAssembler(inputCols=["__num_s", *flags, *ohe_cols], outputCol="features",
                                handleInvalid="keep")
-    if estimator == "linear":
-        est = LinearRegression(labelCol=target, featuresCol="features", regParam=0.01)
-    elif estimator == "forest":
-        est = RandomForestRegressor(labelCol=target, featuresCol="features", seed=seed,
-                                    numTrees=20)
-    else:
-        est = GBTRegressor(labelCol=target, featuresCol="features", seed=seed, maxIter=20)
-    return Pipeline(stages=[*stages, raw, scaler, assemble, est]), est
+    return [*stages, raw, scaler, assemble]
 
 
-def train_regressor(train: DataFrame, *, features: Sequence[str], target: str,
-                    estimator: str = "linear", parallelism: int = 3, seed: int = 42
-                    ) -> PipelineModel:
-    """Model search: a small grid over the regressor, validated by MAE on a
-    held-out part of the training data; returns the best fitted pipeline."""
-    train = binary_flags(train, features)
-    pipe, est = build_pipeline(train, features=features, target=target, estimator=estimator,
-                               seed=seed)
-    if estimator == "linear":
-        grid = ParamGridBuilder().addGrid(est.regParam, [0.0, 0.01, 0.1]).build()
-    else:
-        grid = ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).build()
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid,
-                               evaluator=RegressionEvaluator(labelCol=target, metricName="mae"),
-                               trainRatio=0.8, parallelism=parallelism, seed=seed)
-    return tvs.fit(train).bestModel
+FAMILIES = ("linear", "forest", "boosted")
+
+
+def _family(name: str, target: str, seed: int):
+    """An estimator and its small grid."""
+    if name == "linear":
+        est = LinearRegression(labelCol=target, featuresCol="features")
+        return est, ParamGridBuilder().addGrid(est.regParam, [0.0, 0.01, 0.1]).build()
+    if name == "forest":
+        est = RandomForestRegressor(labelCol=target, featuresCol="features", seed=seed, numTrees=20)
+        return est, ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).build()
+    if name == "boosted":
+        est = GBTRegressor(labelCol=target, featuresCol="features", seed=seed, maxIter=10)
+        return est, ParamGridBuilder().addGrid(est.maxDepth, [3]).build()
+    raise ValueError(f"unknown family {name!r}")
 
 
 def search_regressors(train: DataFrame, *, features: Sequence[str], target: str,
-                      families: Sequence[str] = ("linear", "forest"), parallelism: int = 3,
+                      families: Sequence[str] = FAMILIES, parallelism: int = 3,
                       seed: int = 42) -> tuple[PipelineModel, list[tuple[str, float]]]:
-    """Model search across families (each with its own small grid, validated
-    by MAE on a held-out split); returns the leader and (family, MAE) per
-    family. The input should be materialised (``cut_lineage``): it is scanned
-    by every candidate."""
+    """Model search across families, each with its own small grid, by MAE on a
+    held-out part of the training data; returns the leader, as one pipeline from
+    raw columns to prediction, and (family, MAE) per family.
+
+    The feature stages are fitted once; all candidates train on the stored
+    vectors (a reliable checkpoint), not on the lineage behind them."""
+    flagged = binary_flags(train, features)
+    prepared = Pipeline(stages=feature_stages(flagged, features)).fit(flagged)
+    vectors = cut_lineage(prepared.transform(flagged).select("features", target))
     results = []
     for fam in families:
-        t = binary_flags(train, features)
-        pipe, est = build_pipeline(t, features=features, target=target, estimator=fam, seed=seed)
-        if fam == "linear":
-            grid = ParamGridBuilder().addGrid(est.regParam, [0.0, 0.01, 0.1]).build()
-        else:
-            grid = ParamGridBuilder().addGrid(est.maxDepth, [3, 5]).build()
-        tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid,
+        est, grid = _family(fam, target, seed)
+        tvs = TrainValidationSplit(estimator=est, estimatorParamMaps=grid,
                                    evaluator=RegressionEvaluator(labelCol=target, metricName="mae"),
-                                   trainRatio=0.8, parallelism=parallelism, seed=seed).fit(t)
+                                   trainRatio=0.8, parallelism=parallelism, seed=seed).fit(vectors)
         results.append((fam, float(min(tvs.validationMetrics)), tvs.bestModel))
     best = min(results, key=lambda r: r[1])
-    return best[2], [(f, m) for f, m, _ in results]
+    return (PipelineModel(stages=[*prepared.stages, best[2]]), [(f, m) for f, m, _ in results])
+
+
+def train_regressor(train: DataFrame, *, features: Sequence[str], target: str,
+                    estimator: str = "linear", parallelism: int = 3, seed: int = 42
+                    ) -> PipelineModel:
+    """The search within one family."""
+    return search_regressors(train, features=features, target=target, families=(estimator,),
+                             parallelism=parallelism, seed=seed)[0]
 
 
 def score(model: PipelineModel, df: DataFrame, *, keep: Sequence[str] | None = None) -> DataFrame:
@@ -205,10 +205,6 @@ def classify_sign(df: DataFrame, *, features: Sequence[str], target: str, seed:
     return pipe.fit(labelled)
 
 
-def vector_column(df: DataFrame, vec: str, out: str) -> DataFrame:
-    return df.withColumn(out, vector_to_array(F.col(vec)))
-
-
 # ------------------------------------------------------ back-test / metrics ---
 
 def backtest_shorts(pred: DataFrame, *, actual: str = "label", prediction: str = "prediction",

@@ -8,6 +8,7 @@ from ..functions import form4 as X
 from ..functions import scalars as S
 from .filing_docs import HOLDINGS_SQL, PARSED_SQL, filing_texts, holdings_reports, \
     landed_filing_texts
+from . import q_target
 from .proxies import with_ctes
 from .registry import register
 
@@ -116,38 +117,74 @@ def q_strip_prefix(spark, sf):
     return p.withColumn("url", S.add_base_url("path", X.ARCHIVE_BASE))
 
 
+# what decides between rows of one key, after the date
+_SURVIVOR = ("shares", "price", "coding", "acquired_disposed", "ownership", "rule105b1", "equity_swap")
 _INGEST_SQL = with_ctes(
     "select * exclude (rn) from (select *, row_number() over (partition by key order by date desc, "
-    "shares desc, price desc) as rn from (select link, upper(trim(ticker)) as ticker, derivative, "
-    "trunc(shares::double)::integer as shares, price::double as price, "
-    "(remaining_shares::double)::integer as remaining_shares, date::date as date, "
-    "epoch_ms(date::date::timestamp) as timestamp, sha256(concat(link, remaining_shares, "
+    + ", ".join(f"{c} desc" for c in _SURVIVOR) + ") as rn from (select company_cik, "
+    "upper(trim(ticker)) as ticker, insider_cik, insider_name, owner_code, rule105b1, derivative, "
+    "link, trunc(shares::double)::integer as shares, acquired_disposed, price::double as price, "
+    "date::date as date, (remaining_shares::double)::integer as remaining_shares, ownership, coding, "
+    "direct_holding::bigint as direct_holding, indirect_holding::bigint as indirect_holding, "
+    "equity_swap, epoch_ms(date::date::timestamp) as timestamp, sha256(concat(link, remaining_shares, "
     "case when derivative then '1' else '0' end)) as key from parsed "
-    "where o_orderpriority in ('1-URGENT', '2-HIGH'))) where rn = 1", **_P)
+    "where o_orderpriority in ('1-URGENT', '2-HIGH') and acquired_disposed is not null "
+    "and coding is not null)) where rn = 1", **_P)
+_BARS_SQL = ("select concat('C', o_custkey::varchar) as ticker, l_shipdate::date as date, "
+             "max(l_extendedprice) as close from lineitem join orders on o_orderkey = l_orderkey "
+             "group by 1, 2")
 
 
-@register("ingest_filings", _INGEST_SQL)
-def q_ingest_filings(spark, sf):
+def ingested(spark, sf):
     """index -> form-4 filter -> filing text -> parse -> explode -> key and
-    timestamp -> typing / rejects -> upsert by key (latest event time)."""
+    timestamp -> cleaning and typing -> upsert into the stored table, read back."""
+    import uuid
+
     from ..operators import clean as C
+    from ..session import cut_lineage, scratch_path
     from ..sources import master_index as MI
-    from ..sources.catalog import latest_by_key
+    from ..sources.catalog import FeatureStore, latest_by_key, load_catalog
     from .index_docs import index_lines
+    from .target import TARGET_CATALOG
     index = MI.filter_form_type(MI.parse_index_lines(index_lines(spark, sf)), "4")
     texts = landed_filing_texts(spark, sf).join(index.select("file_path"), "file_path",
                                                 "left_semi")
-    tx = X.with_message_fields(X.explode_transactions(X.parse_filings(texts)))
-    typed = C.cast_numeric_or_reject(tx, {"shares": "int", "price": "double",
-                                          "remaining_shares": "int"})
-    typed = C.cast_date_or_reject(C.normalize_text_keys(typed, ("ticker",)), "date")
+    # parsed once and stored, as the topic between parser and store writer holds it:
+    # the cleaning filters would otherwise be pushed into the parse and repeat it
+    tx = cut_lineage(X.with_message_fields(X.explode_transactions(X.parse_filings(texts))))
+    typed = C.clean_transactions(tx)
     # The composite key is not unique inside a filing (two nodes with the same
     # link, remaining shares and branch): the upsert keeps one of them, the
-    # latest date, then the larger shares / price, so the survivor is
+    # latest date, then the larger shares, price and so on, so the survivor is
     # deterministic.
-    stored = latest_by_key(typed, ("key",), "date", order_extra=("shares", "price"))
-    return stored.select("link", "ticker", "derivative", "shares", "price", "remaining_shares",
-                         "date", "timestamp", "key")
+    store = FeatureStore(spark, scratch_path(spark, f"store-{uuid.uuid4().hex[:12]}"),
+                         load_catalog(TARGET_CATALOG, 1))
+    store.upsert("bt4", latest_by_key(typed, ("key",), "date", order_extra=_SURVIVOR))
+    return store.read("bt4")
+
+
+@register("ingest_filings", _INGEST_SQL)
+def q_ingest_filings(spark, sf):
+    """Filings to the stored transaction table, with all its columns."""
+    return ingested(spark, sf)
+
+
+def _filing_bars(spark, sf):
+    """Daily bars of the filings' tickers, from the line items behind them."""
+    from ..sources.tables import read_table
+    li, o = read_table(spark, sf, "lineitem"), read_table(spark, sf, "orders")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+        F.col("l_shipdate").cast("date").alias("date"), "l_extendedprice").groupBy(
+        "ticker", "date").agg(F.max("l_extendedprice").alias("close"))
+
+
+@register("ingest_to_target", q_target.target_sql(_INGEST_SQL, _BARS_SQL))
+def q_ingest_to_target(spark, sf):
+    """The stored output of the ingest fed to the forward-return target."""
+    from . import target as TG
+    return TG.build_training_target(ingested(spark, sf), _filing_bars(spark, sf),
+                                    period=q_target.PERIOD, direction="R")
 
 
 @register("thirteen_f_fields", HOLDINGS_SQL)

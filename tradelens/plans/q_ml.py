@@ -8,20 +8,25 @@ model scoring are checked by row counts.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import ml as ML
 from ..session import cut_lineage, scratch_path
+from ..sources.tables import is_missing_path
 from . import q_target
 from .proxies import with_ctes
 from .registry import register
 
 RT4 = dict(rt4=q_target._rt4_sql_cte())
-IDS = ["key", "ticker", "date", "timestamp", "company_cik"]
+# Columns that training drops, and those that only identify a row
+DROPPED = ("timestamp", "coding", "insider_cik")
+IDS = ["key", "ticker", "insider_name", "date", "company_cik", "price"]
 TARGET = "pct_change"
 THRESHOLD = 0.0
 
@@ -99,8 +104,9 @@ def q_row_counts(spark, sf):
 @register("align_predictions", with_ctes(
     "select key, pct_change as label, avg_target_expanding as prediction from rt4", **RT4))
 def q_align_predictions(spark, sf):
-    """Predictions meet actuals by key (inner join), never by position."""
-    r = rt4(spark, sf)
+    """Predictions meet actuals by key (inner join), never by position; the rows are
+    stored once, both sides read them."""
+    r = cut_lineage(rt4(spark, sf))
     preds = r.select("key", F.col("avg_target_expanding").alias("prediction"))
     actual = r.select("key", F.col(TARGET).alias("label"))
     return actual.join(preds, "key", "inner")
@@ -114,27 +120,31 @@ def q_order_intents(spark, sf):
 
 
 def _model_path(spark, sf):
-    return scratch_path(spark, f"model_{os.path.basename(sf.rstrip('/'))}")
+    """One model per data folder, by its whole path."""
+    whole = hashlib.sha256(sf.rstrip("/").encode()).hexdigest()[:16]
+    return scratch_path(spark, f"model_{whole}")
 
 
-def _train(spark, sf):
-    # The model search scans its input many times (every optimizer iteration
-    # of every candidate): materialise the training frame once in the shared
-    # checkpoint folder instead of recomputing the as-of / window lineage.
-    df = cut_lineage(rt4(spark, sf))
-    feats = ML.feature_columns(df, target=TARGET, ids=IDS)
+def _training_frame(spark, sf):
+    """(rows, features): the training frame without the dropped columns, stored
+    once, as fitting reads it several times."""
+    df = cut_lineage(C.drop_if_present(rt4(spark, sf), DROPPED))
+    return df, ML.feature_columns(df, target=TARGET, ids=IDS)
+
+
+def _train(spark, sf, families=("linear",)):
+    df, feats = _training_frame(spark, sf)
     train, test = ML.train_test_split(df, key="key", test_fraction=0.2)
-    model = ML.train_regressor(train, features=feats, target=TARGET, estimator="linear")
+    model, _ = ML.search_regressors(train, features=feats, target=TARGET, families=families)
     return model, test, feats
 
 
 @register("train_regressor")
 def q_train_regressor(spark, sf):
-    """Model search over regressor families (linear, random forest), each
-    with a small grid and a held-out MAE; one row per family, the leader
-    flagged."""
-    df = cut_lineage(rt4(spark, sf))
-    feats = ML.feature_columns(df, target=TARGET, ids=IDS)
+    """Model search over the regressor families (linear, random forest, boosted
+    trees), each with a small grid and a held-out MAE; one row per family, the
+    leader flagged."""
+    df, feats = _training_frame(spark, sf)
     train, _ = ML.train_test_split(df, key="key", test_fraction=0.2)
     _, scores = ML.search_regressors(train, features=feats, target=TARGET)
     best = min(m for _, m in scores)
@@ -150,11 +160,12 @@ def q_score(spark, sf):
 
 @register("train_and_backtest")
 def q_train_and_backtest(spark, sf):
-    """drop -> features -> split -> fit (scaler/encoder inside) -> score ->
-    back-test + MAE -> save the model to the shared folder."""
-    model, test, _ = _train(spark, sf)
+    """drop -> features -> split -> search all families -> score -> rows predicted
+    negative -> back-test + MAE -> save the model to the shared folder."""
+    model, test, _ = _train(spark, sf, ML.FAMILIES)
     model.write().overwrite().save(_model_path(spark, sf))
-    pred = ML.score(model, test, keep=["key", "ticker", TARGET]).withColumnRenamed(TARGET, "label")
+    pred = cut_lineage(ML.score(model, test, keep=["key", "ticker", TARGET]).withColumnRenamed(
+        TARGET, "label").where(F.col("prediction") < 0))
     bt = ML.backtest_shorts(pred, threshold=THRESHOLD)
     mae = ML.mae_negative(pred)
     # both metrics are one-row aggregates: attach MAE as scalar subqueries
@@ -174,19 +185,27 @@ def q_model_store(spark, sf):
 
 @register("score_and_order")
 def q_score_and_order(spark, sf):
-    """Load the saved model, read + clean the inference rows, score, check
-    alignment, emit order intents."""
+    """Load the saved model (trained the same way if there is none yet), read and
+    clean the inference rows, value their shares in USD as training does, score,
+    check alignment, emit order intents."""
+    from . import q_target
     path = _model_path(spark, sf)
     try:
-        model = PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - first run in a fresh folder: train once
-        model, _, _ = _train(spark, sf)
+        spark.read.text(os.path.join(path, "metadata")).first()
+    except AnalysisException as e:
+        if not is_missing_path(e):
+            raise
+        model, _, _ = _train(spark, sf, ML.FAMILIES)
         model.write().overwrite().save(path)
-    # read four times (score, two fingerprints, orders): materialise once
-    rows = cut_lineage(C.dropna_any(C.dedup_exact(rt4(spark, sf))))
-    scored = ML.score(model, rows)
-    # scored minus prediction must equal the input (multiset fingerprint:
-    # two aggregates instead of two full-row shuffles)
+    model = PipelineModel.load(path)
+    rows = C.dropna_any(C.dedup_exact(q_target.q_build_inference_features(spark, sf)))
+    usd = {"tx_value": "shares", "remaining_value": "remaining_shares",
+           "direct_holding": "direct_holding", "indirect_holding": "indirect_holding"}
+    rows = cut_lineage(C.drop_if_present(rows.withColumns(
+        {dst: F.col(src) * F.col("price") for dst, src in usd.items()}), DROPPED))
+    scored = cut_lineage(ML.score(model, rows))
+    # what feeds the orders, minus its prediction, must equal the input (multiset
+    # fingerprint: two aggregates instead of two full-row shuffles)
     if not C.same_rows(scored.drop("prediction"), rows):
         raise AssertionError("scored rows do not match the input rows")
     return ML.order_intents(scored, threshold=THRESHOLD)
@@ -194,10 +213,11 @@ def q_score_and_order(spark, sf):
 
 @register("train_classifier")
 def q_train_classifier(spark, sf):
-    df = rt4(spark, sf)
-    feats = ML.feature_columns(df, target=TARGET, ids=IDS)
-    model = ML.classify_sign(df, features=feats, target=TARGET)
-    return model.transform(ML.binary_flags(df, feats)).select("key", "prediction")
+    """Fitted on the training part, applied to the other."""
+    df, feats = _training_frame(spark, sf)
+    train, test = ML.train_test_split(df, key="key", test_fraction=0.2)
+    model = ML.classify_sign(train, features=feats, target=TARGET)
+    return model.transform(ML.binary_flags(test, feats)).select("key", "prediction")
 
 
 @register("encode_categories", with_ctes(

@@ -69,10 +69,10 @@ def daily_sql(src: str) -> str:
 {modes}"""
 
 
-def _target_ctes(direction="R"):
+def _target_ctes(direction="R", tx=TRANSACTIONS_SQL, prices=PRICES_SQL):
     return dict(
-        tx=TRANSACTIONS_SQL, t=_t_sql(direction),
-        p=(f"select upper(trim(ticker)) as ticker, date, close from ({PRICES_SQL}) "
+        tx=tx, t=_t_sql(direction),
+        p=(f"select upper(trim(ticker)) as ticker, date, close from ({prices}) "
            f"where upper(trim(ticker)) in (select ticker from t)"),
         daily=daily_sql("t"),
         a=("select d.*, p.close as start_price, d.date + 30 as future_date from daily d "
@@ -97,6 +97,12 @@ RT4_SELECT = """select ticker, date, company_cik, key, timestamp,
 from d"""
 
 
+def target_sql(tx: str, prices: str) -> str:
+    """The training target over other transactions and bars."""
+    return with_ctes(RT4_SELECT + " where e5 is not null and avg_target_expanding is not null",
+                     **_target_ctes(tx=tx, prices=prices))
+
+
 # ---------------------------------------------------------------- queries ---
 
 @register("build_training_target",
