@@ -50,12 +50,12 @@ def enrich_market_cap(tx: DataFrame, cached: DataFrame, recent: DataFrame, *,
                       cutoff: str) -> DataFrame:
     """Market cap on (upper ticker, first business day of the month); rows on
     or after ``cutoff`` take the recent source. Adds ``fbd`` and ``market_cap``
-    plus ``_mcap_from_cache`` (whether the cache was consulted)."""
+    plus ``_mcap_from_cache`` (whether the cache was consulted). A dimension with
+    several rows of one key counts by its largest cap: it never multiplies rows."""
     t = tx.withColumn("__t", S.normalize_key("ticker")).withColumn(
         "fbd", S.first_business_day(S.parse_date_with_suffix(F.col("date").cast("string"))))
-    c = cached.select(F.col("ticker").alias("__t"), F.col("fbd"),
-                      F.col("market_cap").alias("__cached"))
-    r = recent.select(F.col("ticker").alias("__t"), F.col("market_cap").alias("__recent"))
+    c = cached.groupBy(F.col("ticker").alias("__t"), "fbd").agg(F.max("market_cap").alias("__cached"))
+    r = recent.groupBy(F.col("ticker").alias("__t")).agg(F.max("market_cap").alias("__recent"))
     use_recent = F.col("fbd") >= F.lit(cutoff).cast("date")
     out = (t.join(c, ["__t", "fbd"], "left").join(r, ["__t"], "left")
             .withColumn("market_cap", F.when(use_recent, F.col("__recent"))
@@ -67,12 +67,15 @@ def enrich_market_cap(tx: DataFrame, cached: DataFrame, recent: DataFrame, *,
 def enrich_exchange_sic(tx: DataFrame, cik_map: DataFrame, exchange_fallback: DataFrame | None = None
                         ) -> DataFrame:
     """Exchange and SIC by company CIK; exchange falls back to a by-ticker
-    source. Misses stay null (and are dead-lettered by ``dead_letters``)."""
-    m = cik_map.select(F.col("cik").alias("company_cik"), F.col("exchange").alias("__ex"),
-                       F.col("sic"))
+    source. Misses stay null (and are dead-lettered by ``dead_letters``). Several
+    rows of one key count by their greatest (exchange, sic)."""
+    m = cik_map.groupBy(F.col("cik").alias("company_cik")).agg(
+        F.max(F.struct("exchange", "sic")).alias("__m")).select(
+        "company_cik", F.col("__m.exchange").alias("__ex"), F.col("__m.sic").alias("sic"))
     out = tx.join(m, "company_cik", "left")
     if exchange_fallback is not None:
-        fb = exchange_fallback.select(F.col("ticker").alias("__t"), F.col("exchange").alias("__fb"))
+        fb = exchange_fallback.groupBy(F.col("ticker").alias("__t")).agg(
+            F.max("exchange").alias("__fb"))
         out = (out.withColumn("__t", S.normalize_key("ticker")).join(fb, "__t", "left")
                   .withColumn("exchange", F.coalesce("__ex", "__fb")).drop("__t", "__fb"))
     else:

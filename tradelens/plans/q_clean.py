@@ -271,13 +271,13 @@ def q_drop_if_present(spark, sf):
 
 
 @register("split_feature_columns", with_ctes(
-    "select shares, remaining_shares, price, owner_code, coding, ownership, derivative, "
+    "select shares, remaining_shares, owner_code, ownership, derivative, "
     "equity_swap, rule105b1, direct_holding, indirect_holding from tx", **_T))
 def q_split_feature_columns(spark, sf):
     from ..operators.ml import feature_columns
-    tx = transactions(spark, sf).drop("acquired_disposed")
-    feats = feature_columns(tx, target="price_target_absent",
-                            ids=["key", "company_cik", "ticker", "date", "timestamp", "link"])
+    from .q_ml import DROPPED, IDS
+    tx = C.drop_if_present(transactions(spark, sf), (*DROPPED, "acquired_disposed", "link"))
+    feats = feature_columns(tx, target="pct_change", ids=IDS)
     return tx.select(*feats)
 
 

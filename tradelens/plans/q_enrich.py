@@ -13,10 +13,10 @@ from .registry import register
 CUTOFF = "2001-01-01"
 
 
-def cached_mcaps(spark, sf):
+def cached_mcaps(spark, sf, known="ticker < 'T8'"):
     """Market caps per (ticker, first business day), known for part of the
-    tickers only."""
-    p = price_bars(spark, sf).where(F.col("ticker") < "T8")
+    tickers only, so that lookups can miss."""
+    p = price_bars(spark, sf).where(known)
     return (p.groupBy("ticker", S.first_business_day("date").alias("fbd"))
              .agg((F.floor(F.max("close")) * 1000).alias("market_cap")))
 
@@ -27,8 +27,8 @@ def recent_mcaps(spark, sf):
                     (F.floor("s_acctbal") * 10).alias("market_cap"))
 
 
-def cik_map(spark, sf):
-    p = read_table(spark, sf, "part").where(F.col("p_retailprice") < 1500)
+def cik_map(spark, sf, known="p_retailprice < 1500"):
+    p = read_table(spark, sf, "part").where(known)
     return p.select(F.col("p_partkey").cast("string").alias("cik"),
                     F.when(F.col("p_type") != "ECONOMY", F.col("p_type")).alias("exchange"),
                     (F.col("p_size") * 100).cast("string").alias("sic"))
@@ -118,7 +118,9 @@ def q_sic_sector(spark, sf):
 
 @register("src_dimension_files", with_ctes(
     "select cmap.cik, cmap.exchange, cmap.sic, count(cm.ticker) as n_mcap_rows from cmap "
-    "left join cm on cm.ticker = concat('T', cmap.cik) group by all", **_ENRICH_CTES))
+    "left join cm on cm.ticker = concat('T', cmap.cik) group by all",
+    **{**_ENRICH_CTES, "cm": _ENRICH_CTES["cm"].replace("where ticker < 'T8'", ""),
+       "cmap": _ENRICH_CTES["cmap"].replace("where p_retailprice < 1500", "")}))
 def q_src_dimension_files(spark, sf):
     """Dimension files landed in the shared folder (market caps as Parquet,
     the CIK map as JSON Lines), loaded back and combined."""
@@ -128,8 +130,8 @@ def q_src_dimension_files(spark, sf):
     from ..session import scratch_path
     from ..sources import dimensions as DIM
     root = scratch_path(spark, f"dims-{uuid.uuid4().hex[:12]}")
-    cached_mcaps(spark, sf).write.mode("overwrite").parquet(os.path.join(root, "mcaps"))
-    DIM.write_cik_map_lines(cik_map(spark, sf), os.path.join(root, "cik_map"))
+    cached_mcaps(spark, sf, "true").write.mode("overwrite").parquet(os.path.join(root, "mcaps"))
+    DIM.write_cik_map_lines(cik_map(spark, sf, "true"), os.path.join(root, "cik_map"))
     mc = DIM.read_market_caps(spark, os.path.join(root, "mcaps"))
     cm = DIM.read_cik_map_lines(spark, os.path.join(root, "cik_map"))
     counts = mc.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_mcap_rows"))

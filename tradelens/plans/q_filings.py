@@ -21,23 +21,50 @@ def _docs(spark, sf):
 
 
 @register("regex_embedded_xml", """
-select count(*) as n_filings,
-       count(*) filter (where not (o_orderstatus = 'P' and o_orderpriority = '4-NOT SPECIFIED'))
-         as n_with_xml
-from orders""")
+select concat('edgar/data/', o_custkey::varchar, '/', o_orderkey::varchar, '.txt') as file_path,
+       case when has then lpad(o_custkey::varchar, 10, '0') else '' end as issuer_cik,
+       case when has then concat('OWNER ', o_custkey::varchar) else '' end as owner_name, has as whole
+from (select *, not (o_orderstatus = 'P' and o_orderpriority = '4-NOT SPECIFIED') as has from orders)
+""")
 def q_regex_embedded_xml(spark, sf):
-    t = X.with_xml(landed_filing_texts(spark, sf), raw="raw", keep=[])
-    return t.agg(F.count(F.lit(1)).alias("n_filings"),
-                 F.count_if(F.col("__xml") != "").alias("n_with_xml"))
+    """The embedded document cut out of each text: what it says of issuer and
+    owner, and whether it is there from its first to its last tag."""
+    t = X.with_xml(landed_filing_texts(spark, sf), raw="raw", keep=["file_path"])
+    xml = F.coalesce("__xml", F.lit(""))
+    return t.select("file_path",
+                    F.regexp_extract(xml, "<issuerCik>(.*?)</issuerCik>", 1).alias("issuer_cik"),
+                    F.regexp_extract(xml, "<rptOwnerName>(.*?)</rptOwnerName>", 1).alias("owner_name"),
+                    xml.rlike(r"(?s)^\s*<(\?xml|ownershipDocument).*</ownershipDocument>\s*$")
+                    .alias("whole"))
 
 
 @register("form4_parse", """
-select count(*) as n_documents from orders
-where not (o_orderstatus = 'P' and o_orderpriority in ('4-NOT SPECIFIED', '5-LOW'))""")
+select concat('https://www.sec.gov/Archives/edgar/data/', o_custkey::varchar, '/',
+              o_orderkey::varchar, '.txt') as link,
+       lpad(o_custkey::varchar, 10, '0') as company_cik, concat('c', o_custkey::varchar) as ticker,
+       lpad((o_custkey + 1000000)::varchar, 10, '0') as insider_cik, 2::integer as n_owners,
+       case when o_orderpriority = '3-MEDIUM' then '1' else '0' end as plan_flag,
+       (count(*) filter (where l_linestatus <> 'O'))::integer as n_plain,
+       (count(*) filter (where l_linestatus = 'O'))::integer as n_derivative
+from orders left join lineitem on o_orderkey = l_orderkey
+where not (o_orderstatus = 'P' and o_orderpriority in ('4-NOT SPECIFIED', '5-LOW'))
+group by o_custkey, o_orderkey, o_orderpriority""")
 def q_form4_parse(spark, sf):
-    """Typed documents recovered from the filing texts (malformed / missing
-    XML dropped)."""
-    return _docs(spark, sf).agg(F.count("doc").alias("n_documents"))
+    """Typed documents recovered from the filing texts (malformed / missing XML
+    dropped): issuer, owners, plan flag and the number of transactions."""
+    owner = F.col("doc.reportingOwner")[0]["reportingOwnerId"]["rptOwnerCik"]
+
+    def n(c):
+        return F.coalesce(F.size(F.coalesce(F.col(c), F.array())), F.lit(0))
+
+    d = _docs(spark, sf).select(
+        "link", F.col("doc.issuer.issuerCik").alias("company_cik"),
+        F.col("doc.issuer.issuerTradingSymbol").alias("ticker"), owner.alias("insider_cik"),
+        F.size("doc.reportingOwner").alias("n_owners"), F.col("doc.aff10b5One").alias("plan_flag"),
+        n("doc.nonDerivativeTable.nonDerivativeTransaction").alias("n_plain"),
+        n("doc.derivativeTable.derivativeTransaction").alias("n_derivative"),
+        F.posexplode(F.when(F.col("doc").isNotNull(), F.array(F.lit(1)))).alias("_p", "_one"))
+    return d.drop("_p", "_one")
 
 
 @register("form4_explode", with_ctes(f"select {_COLS} from parsed", **_P))
