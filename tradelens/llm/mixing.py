@@ -17,8 +17,9 @@ Plan: one scan reduces documents to (source, tokens, place); tokens are summed
 per source, then per (source, block) to find the block where the quota ends,
 then per sub-block there, then per place there. So a source with a third of all
 rows is 4096 keys, and every window orders at most 4096 rows or one sub-block.
-What is left is one cut-off per source, joined to the documents on the source
-(Spark broadcasts that table if its measured size allows).
+What is left is one cut-off per source. Tables of one row per source are stored
+and, up to a counted ``BROADCAST_SOURCES`` rows, broadcast to the documents; beyond
+that they are joined on the source.
 
 Defined cases: words are runs without ASCII white space; null or blank texts have
 no tokens (they cost nothing and come with every pass begun); a null source is a
@@ -36,10 +37,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 STEPS = 50
+BROADCAST_SOURCES = 100_000
 SEED, ENTROPY, REPEATS = "mix-1", 0.95, 4.0
 
 
@@ -80,12 +82,19 @@ def weights(sources: DataFrame, entropy: float, repeats: float, budget: int | No
         "shares", F.expr("transform(t, x -> x / cast(total as double))")).select(
         "total", "shares", F.expr(f"greatest({by_entropy}, {by_repeats})").alias("alpha")).withColumn(
         "z", F.expr(z.format(m="alpha")))
-    w = F.expr("pow(tokens / cast(total as double), alpha) / z")
-    # one row, known to be one: the scalar side of a join on a constant
-    return sources.where("tokens > 0").withColumn("one", F.lit(1)).join(
-        F.broadcast(solved.withColumn("one", F.lit(1))), "one").select(
-        "source", "tokens", "alpha", w.alias("weight"),
-        F.floor(w * F.expr(total) + 0.5).cast("long").alias("quota"))
+    # one row: a scalar subquery, not a join
+    found = solved.select(F.struct("total", "alpha", "z")).scalar()
+    w = F.expr("pow(tokens / cast(found.total as double), found.alpha) / found.z")
+    all_tokens = F.lit(budget) if budget is not None else F.col("found.total")
+    return sources.where("tokens > 0").withColumn("found", found).select(
+        "source", "tokens", F.col("found.alpha").alias("alpha"), w.alias("weight"),
+        F.floor(w * all_tokens + 0.5).cast("long").alias("quota"))
+
+
+def _per_source(df: DataFrame) -> DataFrame:
+    """A table of one row per source, ready to be joined to documents."""
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_SOURCES else df
 
 
 def _crossing(parts: DataFrame, group: list[str], by: str) -> DataFrame:
@@ -115,6 +124,7 @@ def plan_mixture(docs: DataFrame, seed: str = SEED, entropy: float = ENTROPY,
         F.col("source").alias("src"), "alpha", "weight", "quota",
         F.expr("quota div tokens").alias("passes"), F.expr("quota % tokens").alias("rest"))
     p = place(F.col("passes"), seed)
+    plan = _per_source(plan)
     placed = slim.join(plan, slim.source.eqNullSafe(plan.src)).select(
         "source", "tokens", "rest", p.alias("place"))
     placed = placed.withColumn("block", F.substring("place", 1, 3)).withColumn(
@@ -124,7 +134,7 @@ def plan_mixture(docs: DataFrame, seed: str = SEED, entropy: float = ENTROPY,
         return df.groupBy("source", "rest", *by).agg(F.sum("tokens").alias("tokens"))
 
     def inside(df, cross, by):
-        c = cross.select(F.col("source").alias("s"), *(F.col(x).alias(f"_{x}") for x in by),
+        c = _per_source(cross).select(F.col("source").alias("s"), *(F.col(x).alias(f"_{x}") for x in by),
                          F.col("rest").alias("left"))
         on = df.source.eqNullSafe(c.s)
         for x in by:
@@ -153,6 +163,7 @@ def mix(docs: DataFrame, seed: str = SEED, entropy: float = ENTROPY, repeats: fl
     """The documents once per pass that takes them, with n_tokens, epoch and block."""
     plan = plan_mixture(docs, seed, entropy, repeats, budget).select(
         F.col("source").alias("_src"), F.col("passes").alias("_passes"), F.col("cut").alias("_cut"))
+    plan = _per_source(plan)
     keep = [c for c in docs.columns if c not in ("n_tokens", "epoch", "block")]
     d = docs.select(*(F.col(f"`{c}`") for c in keep), n_tokens().alias("n_tokens"),
                     doc_key().alias("_key"))
