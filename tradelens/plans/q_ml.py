@@ -183,26 +183,28 @@ def q_model_store(spark, sf):
     return ML.score(loaded, test, keep=["key"])
 
 
-@register("score_and_order")
-def q_score_and_order(spark, sf):
-    """Load the saved model (trained the same way if there is none yet), read and
-    clean the inference rows, value their shares in USD as training does, score,
-    check alignment, emit order intents."""
-    from . import q_target
+def scoring_inputs(spark, sf):
+    """(model, rows): the saved model (trained the same way if there is none yet)
+    and the cleaned inference rows, their shares valued in USD as in training."""
     path = _model_path(spark, sf)
     try:
         spark.read.text(os.path.join(path, "metadata")).first()
     except AnalysisException as e:
         if not is_missing_path(e):
             raise
-        model, _, _ = _train(spark, sf, ML.FAMILIES)
-        model.write().overwrite().save(path)
-    model = PipelineModel.load(path)
+        _train(spark, sf, ML.FAMILIES)[0].write().overwrite().save(path)
     rows = C.dropna_any(C.dedup_exact(q_target.q_build_inference_features(spark, sf)))
     usd = {"tx_value": "shares", "remaining_value": "remaining_shares",
            "direct_holding": "direct_holding", "indirect_holding": "indirect_holding"}
-    rows = cut_lineage(C.drop_if_present(rows.withColumns(
+    return PipelineModel.load(path), cut_lineage(C.drop_if_present(rows.withColumns(
         {dst: F.col(src) * F.col("price") for dst, src in usd.items()}), DROPPED))
+
+
+@register("score_and_order")
+def q_score_and_order(spark, sf):
+    """Load the saved model, score the inference rows, check alignment, emit order
+    intents."""
+    model, rows = scoring_inputs(spark, sf)
     scored = cut_lineage(ML.score(model, rows))
     # what feeds the orders, minus its prediction, must equal the input (multiset
     # fingerprint: two aggregates instead of two full-row shuffles)
