@@ -21,7 +21,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("ts").cast("date").cast("string")
     return e.select(
         F.col("event_id"),
-        F.substring(F.sha2(F.col("event_id").cast("string"), 256), 1, 16).alias("key"),
+        F.sha2(F.col("event_id").cast("string"), 256).alias("key"),
         F.col("user_id"),
         F.col("ts"),
         et.alias("event_type"),
@@ -38,7 +38,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MESSAGES_SQL = """
-select event_id, substr(sha256(event_id::varchar), 1, 16) as key, user_id, ts, event_type,
+select event_id, sha256(event_id::varchar) as key, user_id, ts, event_type,
   case when event_type = 'error' then 'x' else value::varchar end as shares,
   case when event_type = 'signup' then 'None' when event_type = 'view' then '---'
        else concat(' t', user_id::varchar) end as ticker,

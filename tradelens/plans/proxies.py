@@ -30,9 +30,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("l_discount")
     t = F.col("l_tax")
     return li.select(
-        F.substring(F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in
-                    ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]), 256),
-                    1, 16).alias("key"),
+        F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in
+               ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]), 256).alias("key"),
         F.col("l_partkey").cast("string").alias("company_cik"),
         F.concat(F.lit(" t"), F.col("l_suppkey").cast("string"), F.lit(" ")).alias("ticker"),
         F.col("l_shipdate").cast("date").alias("date"),
@@ -57,8 +56,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TRANSACTIONS_SQL = """
-select substr(sha256(concat_ws('|', l_orderkey::varchar, l_linenumber::varchar,
-                                l_partkey::varchar, l_suppkey::varchar)), 1, 16) as key,
+select sha256(concat_ws('|', l_orderkey::varchar, l_linenumber::varchar,
+                         l_partkey::varchar, l_suppkey::varchar)) as key,
        l_partkey::varchar as company_cik,
        concat(' t', l_suppkey::varchar, ' ') as ticker,
        l_shipdate::date as date,

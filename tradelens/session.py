@@ -70,6 +70,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours in whatever store it is, through Spark's Hadoop client."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     checkpoint_dir(df.sparkSession)

@@ -33,6 +33,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import remove_path
 from .tables import is_missing_path
 
 BATCH = "_batch"
@@ -183,6 +184,7 @@ class FeatureStore:
         keyed = self.spark.read.schema(batch.schema).parquet(incoming)
         n = keyed.count()
         if not n:
+            remove_path(self.spark, work)
             return None
         last, buckets = self._state(spec) or (None, None)
         if buckets is None:
@@ -209,4 +211,5 @@ class FeatureStore:
          .option("maxRecordsPerFile", 4 * ROWS_PER_BUCKET).partitionBy(PERIOD, BUCKET)
          .parquet(self._data(spec)))
         self._write_state(spec, bid if last is None else max(last, bid), buckets)
+        remove_path(self.spark, work)
         return bid
