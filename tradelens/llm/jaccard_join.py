@@ -354,8 +354,7 @@ def jaccard_join(docs: DataFrame, width: int = 5, part: int = 256, block: int =
                  slices: int | None = None, buckets: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) per document."""
     spark = docs.sparkSession
-    n = P.shuffle_partitions(spark)
-    slices, buckets = slices or 2 * n, buckets or n
+    slices, buckets = P.sizes(docs, slices, buckets)
     folder = scratch_path(spark, f"jaccard-{uuid.uuid4().hex}")
 
     def stored(df: DataFrame, name: str) -> DataFrame:

@@ -101,9 +101,9 @@ def _kept(t: pa.Table, got: pa.Table, width: int):
 
 
 def _passes(docs: DataFrame, width: int, slices, buckets, rest: bool, last, schema):
-    n = P.shuffle_partitions(docs.sparkSession)
-    d = P.with_slice(docs, slices or 2 * n, rest).groupBy("slice")
-    found = d.applyInArrow(_report_pass(buckets or n, width), P.ROW).groupBy(
+    slices, buckets = P.sizes(docs, slices, buckets)
+    d = P.with_slice(docs, slices, rest).groupBy("slice")
+    found = d.applyInArrow(_report_pass(buckets, width), P.ROW).groupBy(
         "bucket").applyInArrow(_match, P.ROW)
     return d.cogroup(found.groupBy("slice")).applyInArrow(last, schema)
 

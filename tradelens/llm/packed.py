@@ -34,6 +34,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+SLICE_BYTES = 64 << 20    # text of a slice
+BUCKET_BYTES = 128 << 20  # text whose hashes (about 4 bytes a word) meet in a bucket
+
+
+def sizes(docs: DataFrame, slices: int | None, buckets: int | None) -> tuple[int, int]:
+    """Numbers of slices and buckets: by the measured size of all texts, but at
+    least twice and once the session's shuffle partitions, so that tasks stay
+    small whatever that setting is."""
+    n = shuffle_partitions(docs.sparkSession)
+    if not (slices and buckets):
+        size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+        slices = slices or max(2 * n, -(-size // SLICE_BYTES))
+        buckets = buckets or max(n, -(-size // BUCKET_BYTES))
+    return slices, buckets
+
+
 def with_slice(docs: DataFrame, slices: int, rest: bool = False) -> DataFrame:
     """doc_id, text and the slice; a hash of both spreads null or repeated ids.
 

@@ -186,12 +186,9 @@ def substring_dedup(docs: DataFrame, width: int = 50, keep_text: bool = False,
                     slices: int | None = None, buckets: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept_text) per document.
 
-    ``slices`` and ``buckets`` default to twice and once the session's shuffle
-    partitions; size them so that a slice's text and a bucket's hashes (about
-    4 bytes per word of the corpus over ``buckets``) fit a task.
+    ``slices`` and ``buckets`` follow the measured size of the texts (``packed.sizes``).
     """
-    n = P.shuffle_partitions(docs.sparkSession)
-    slices, buckets, block = slices or 2 * n, buckets or n, width // 2
+    (slices, buckets), block = P.sizes(docs, slices, buckets), width // 2
     d = P.with_slice(docs, slices)
 
     def by_slice(df):
