@@ -7,8 +7,8 @@ sorted arrays with a prefilter table; each document's rolling window hashes of
 the same lengths are looked up, every hit is verified on the words themselves,
 and all words inside a verified occurrence are marked.
 
-The broadcast is bounded: at most ``max_windows`` distinct windows (about 100
-bytes each) at a time, blocked by hash. A larger benchmark takes several passes
+The broadcast is bounded: about ``max_windows`` (window, item) pairs (some 100
+bytes each) at a time, counted and blocked by hash. A larger benchmark takes several passes
 over the documents; each adds its marks to the stored result of the one before.
 Documents are never shuffled.
 
@@ -104,7 +104,8 @@ def window_sets(benchmark: DataFrame, width: int = WIDTH,
     w = cut_lineage(raw.mapInArrow(
         _item_windows(width), "n int, h long, words binary, item_id long").groupBy(
         "n", "h", "words").agg(F.collect_set("item_id").alias("items")))
-    blocks = -(-w.count() // max_windows) or 1
+    size = w.agg(F.sum(F.greatest(F.size("items"), F.lit(1)))).first()[0] or 0
+    blocks = -(-size // max_windows) or 1
     return [_collected(w.where(F.pmod(F.col("h"), F.lit(blocks)) == k)) for k in range(blocks)]
 
 
