@@ -244,3 +244,10 @@ def test_pipeline_stage_by_stage(spark, texts, tmp):
         before = after
     whole = corpus_pipeline.run(spark, tmp)
     assert sorted(map(tuple, whole.collect()), key=repr) == sorted(before, key=repr)
+
+
+def test_mix_is_native_and_moves_no_text(docs):
+    """No Python in the plan, and no exchange above the documents' scan."""
+    plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+    assert "BroadcastHashJoin" in plan
