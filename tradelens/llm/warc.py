@@ -16,8 +16,8 @@ Files are written by Spark's text writer (rows are whole records, the line
 separator is the record's end) and read with the ``binaryFile`` source, so any
 store that Spark reads will do; a file holds one input partition and is gunzipped
 in a stream, so a task holds one file's compressed bytes and one record.
-Payloads are shuffled only if the set of repeated digests is too large for
-Spark to broadcast by its own measure.
+The repeated digests are counted first: up to ``BROADCAST_DIGESTS`` of them are
+broadcast to the payloads, more are joined on the digest.
 
 Defined cases: null html is an empty payload; a null URL becomes a URN of the
 page; white space and control bytes in URLs are percent-encoded; a null page id
@@ -38,9 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 
 REVISIT_BYTES = 100
+BROADCAST_DIGESTS = 200_000    # rows of a digest, a page id and a count
 GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 # Fixed header layouts of the two ARC versions
@@ -277,6 +278,9 @@ def arc_to_warc(spark: SparkSession, arc_path: str, warc_path: str) -> None:
     """Converts ARC files into WARC files with revisit records."""
     first = read_arc(spark, arc_path, payload=False).where(F.col("bytes") >= REVISIT_BYTES).groupBy(
         "digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = cut_lineage(first)
+    if first.count() <= BROADCAST_DIGESTS:
+        first = F.broadcast(first)
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     records = read_arc(spark, arc_path).join(first, "digest", "left").withColumn(
         "refers_to", refers).select("page_id", "uri", "ip", "date", "head", "digest", "refers_to",
