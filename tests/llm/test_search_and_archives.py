@@ -156,6 +156,22 @@ def test_extract_article_without_boilerplate():
     assert extract("<div>" * 3000 + "deep") == "deep"
 
 
+def test_extract_keeps_articles_in_wrappers_and_named_headings():
+    art = "<article><h1>T</h1><p>one</p></article>"
+    for name in ("layout with-sidebar", "post has-comments", "sidebar", "page social"):
+        assert extract(f"<body><div class='{name}'>x{art}</div></body>") == "T\n\none"
+        assert extract(f"<body><div class='{name}'><main>{art}</main></div></body>") == "T\n\none"
+    assert extract(f"<main><div class='post comments'>{art}</div></main>") == "T\n\none"
+    assert extract("<article><h2 id='related-work'>Related</h2><h2 class='header'>H</h2><section "
+                   "id='social-history'><p>s</p></section></article>") == "Related\n\nH\n\ns"
+    assert extract("<body><div class='sidebar'><p>all</p></div></body>") == "all"
+    # boxes still go, also beside the article
+    assert extract(f"<div class='related'><article>teaser</article></div>{art}") == "T\n\none"
+    assert extract("<article>a<div class='cookie-notice'>n</div><div class='ad-3'>n</div><section "
+                   "id='comments'><article>c</article></section></article>") == "a"
+    assert extract("<p>a</p><div class='share'>s</div>") == "a"
+
+
 def test_tree_matching():
     a, b = parse("<ul><li>1<li>2<li>3</ul>"), parse("<ul><p>0</p><li>1<li>9</ul>")
     number(a), number(b)
