@@ -77,6 +77,21 @@ def test_nearest_small_and_empty(spark, emb):
     assert ann.nearest(emb, none).count() == 0
 
 
+def test_nearest_lists_are_complete(spark, emb, emb_rows):
+    few = emb.where("vec_id in (0, 1, 2)")
+    assert ann.nearest(few, few.where("vec_id = 0")).count() == 2
+    # outliers: all buckets around them are empty, thousands of steps away
+    far = [(i, [1e4 * i + j for j in range(16)]) for i in (3000, 3100)]
+    rows = [(i, x) for i, x in emb_rows if i is not None and i < 900] + far
+    df = spark.createDataFrame([(i, x, 1, 2, 3.0, "v", 4) for i, x in rows], EMB)
+    want, got = brute_nearest(rows), {}
+    for r in ann.nearest(df, df.where("vec_id % 100 = 0"), shard_rows=200).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert {q: len(g) for q, g in got.items()} == {q: 10 for q in want}
+    for q, _ in far:
+        assert [i for _, i, _ in sorted(got[q])] == [i for i, _ in want[q]]
+
+
 def test_probes_come_in_order_and_differ():
     sets = ann.perturbations(5, 40)
     assert sets[0] == () and sets[1] == (1,) and len(sets) == len(set(sets)) == 41
