@@ -196,6 +196,39 @@ def test_tree_matching():
     assert match(big, big)[0] == 502
 
 
+def test_tree_matching_of_long_lists_and_deep_trees():
+    # one more paragraph at the front, a note at the end: the notes are still paired
+    a = parse("<div>" + "<p>t</p><p><b>x</b></p>" * 100 + "<p>z<i>note</i></p><ul></ul></div>")
+    b = parse("<div><p>n<em>e</em></p>" + "<p><b>x</b></p><p>t</p>" * 110 + "<p>z<i>note</i></p></div>")
+    size, pairs = match(a, b)
+    # root, div, 200 of the 201 p with an inner b or i, where these meet
+    assert size == len(pairs) == 2 + 201 + 100 + 1 and size == reference_size(a, b)
+    assert any(x.tag == "i" == y.tag for x, y in pairs)
+    deep = [parse("<div>" * 900 + end) for end in ("<p>a<b>c</b>", "<ul></ul><p>a<b>c</b><i></i>")]
+    assert match(*deep)[0] == 903
+    rng = random.Random(3)
+    for _ in range(60):
+        t = [parse("".join(rng.choice(["<div>", "<ul>", "</div>", "<b>x</b>", "</ul>", "<li>", "<i>"])
+                           for _ in range(rng.randrange(90)))) for _ in "ab"]
+        n, pairs = match(*t)
+        assert n == len(pairs) == reference_size(*t)
+        assert len({id(x) for x, _ in pairs}) == len({id(y) for _, y in pairs}) == n
+
+
+def reference_size(a, b):
+    """Simple tree matching as published, in plain recursion."""
+    if a.tag != b.tag:
+        return 0
+    ka, kb = ([k for k in x.kids if not isinstance(k, str)] for x in (a, b))
+    up = [0] * (len(kb) + 1)
+    for x in ka:
+        row = [0]
+        for j, y in enumerate(kb):
+            row.append(max(up[j + 1], row[j], up[j] + reference_size(x, y)))
+        up = row
+    return up[-1] + 1
+
+
 def test_main_text_drops_what_a_host_repeats(spark):
     rng = random.Random(1)
     rows = [(i, f"http://h{i % 2}.example/{i}", PAGE % rng.random()) for i in range(24)]
