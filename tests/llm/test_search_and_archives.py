@@ -245,3 +245,25 @@ def test_main_text_drops_what_a_host_repeats(spark):
     salted = main_text(df, broadcast_bytes=0).collect()
     assert sorted(map(tuple, salted), key=repr) == sorted(map(tuple, got), key=repr)
     assert main_text(df.where("page_id < 0")).count() == 0
+
+
+def test_main_text_of_a_host_with_two_layouts(spark):
+    rng = random.Random(2)
+
+    def page(i):
+        text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(5))
+        more = "<p>more</p>" * rng.randrange(3)
+        if i % 5 < 2:
+            return (f"<body><div>Top</div><ul><li>Sort by date</li><li>{text}</li></ul>{more}"
+                    "<div>List end</div></body>")
+        return (f"<body><div>Top</div><section><h2>Filed under news</h2><p>{text}</p>{more}</section>"
+                "<div>Read on</div></body>")
+
+    rows = [(i, f"http://two.example/{i}", page(i)) for i in range(40)]
+    rows += [(40, "http://two.example/odd", "<body><table><tr><td>lone</td></tr></table></body>")]
+    df = spark.createDataFrame([(*r, "d", 1, 2, "h") for r in rows], PAGES).repartition(4)
+    by = {r.page_id: r.text for r in main_text(df).collect()}
+    assert len(by) == 41 and by[40] == "lone"
+    for i in range(40):
+        assert not any(x in by[i] for x in ("Top", "Sort by", "List end", "Filed", "Read on")), by[i]
+        assert len([x for x in by[i].split() if x[0] == "w"]) == 5
