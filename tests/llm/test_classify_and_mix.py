@@ -169,6 +169,17 @@ def test_contamination(spark):
     assert contamination(docs.where("doc_id < 0"), bench).count() == 0
 
 
+def test_spans_do_not_depend_on_the_blocks(spark):
+    docs = spark.createDataFrame([(i, t, "m", 1) for i, t in bench_docs()],
+                                 "doc_id long, text string, Marks string, items int")
+    bench = spark.createDataFrame([(i, t, 2) for i, t in BENCH], "item_id long, text string, n int")
+    want = remove_contaminated(docs, bench, spans_only=True)
+    for limit in (4, 1):
+        got = remove_contaminated(docs, bench, max_windows=limit, spans_only=True)
+        assert got.schema == want.schema
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
 def mixed(df, **options):
     return sorted(((r.doc_id, r.source, r.n_tokens, r.epoch, r.block)
                    for r in mixing.mix(df, **options).collect()), key=repr)

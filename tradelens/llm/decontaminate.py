@@ -174,20 +174,37 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDT
     """The documents without those that hold a benchmark window; with
     ``spans_only`` every document, its marked words cut from the text instead."""
     spark = docs.sparkSession
-    for found in window_sets(benchmark, width, max_windows):
-        held = spark.sparkContext.broadcast(found)
-
-        def run(batches, held=held):
+    blocks = window_sets(benchmark, width, max_windows)
+    schema, carried = docs.schema, spans_only and len(blocks) > 1
+    if carried:      # marks of all blocks are made on the unchanged text
+        name = "marks"
+        while name in map(str.lower, docs.columns):
+            name += "_"
+        docs = docs.withColumn(name, F.lit(None).cast("binary"))
+    for k, found in enumerate(blocks):
+        held, last = spark.sparkContext.broadcast(found), k == len(blocks) - 1
+
+        def run(batches, held=held, last=last):
             for b in batches:
                 texts = b.column("text")
                 marks = [m for _, m, _ in held.value.marks(texts)]
                 if not spans_only:
                     yield b.filter(pa.array([not m.any() for m in marks], pa.bool_()))
                     continue
+                if carried:
+                    at = len(b.schema) - 1
+                    marks = [m if old is None else m | np.unpackbits(
+                        np.frombuffer(old, np.uint8), count=len(m)).astype(bool)
+                        for m, old in zip(marks, b.column(at).to_pylist())]
+                    if not last:
+                        yield b.set_column(at, b.schema.field(at), pa.array(
+                            [np.packbits(m).tobytes() for m in marks], b.schema.field(at).type))
+                        continue
+                    b = b.remove_column(at)
                 new = [t if not m.any() else _cut(t, m) for t, m in zip(texts.to_pylist(), marks)]
                 at = b.schema.get_field_index("text")
                 yield b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(run, schema if last else docs.schema)
     return docs
 
 
