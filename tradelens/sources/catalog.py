@@ -16,6 +16,7 @@ the folders its batch touches, merges, stages the result and replaces exactly
 those by dynamic partition overwrite. The merge is idempotent, so a job that
 dies mid-write is repaired by running the same batch again. One writer a table
 at a time; batches land and stage in folders of their own.
+A folder that has outgrown ``rows_per_bucket`` is written by several tasks.
 
 The merge is an aggregate, not a window: ``max_by(row, (batch, event_time))``
 per key with map-side partial aggregation, so a hot key (many updates of one
@@ -59,6 +60,10 @@ class TableSpec:
         return ((self.event_time, BATCH) if self.options.get("conflict") == "event_time"
                 else (BATCH, self.event_time))
 
+    @property
+    def rows_per_bucket(self) -> int:
+        return int(self.options.get("rows_per_bucket", ROWS_PER_BUCKET))
+
     def location(self, root: str) -> str:
         return os.path.join(root, f"{self.name}_v{self.version}")
 
@@ -145,6 +150,20 @@ class FeatureStore:
         return df.withColumn(PERIOD, period).withColumn(BUCKET, F.pmod(
             F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(buckets)).cast("int"))
 
+    @staticmethod
+    def _dealt(rows: DataFrame, spec: TableSpec) -> DataFrame:
+        """The rows dealt to write tasks: one a folder, several for a folder that has
+        outgrown ``rows_per_bucket``."""
+        folders = rows.groupBy(PERIOD, BUCKET).agg(
+            F.ceil(F.count("*") / spec.rows_per_bucket).alias("_pieces"))
+        pieces, most = folders.agg(F.sum("_pieces"), F.max("_pieces")).first()
+        if most <= 1:
+            return rows.repartition(PERIOD, BUCKET)
+        # the literal makes the hash differ from the bucket's
+        piece = F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key], F.lit(1)), F.col("_pieces"))
+        return rows.join(folders, [PERIOD, BUCKET]).withColumn("_piece", piece).repartition(
+            pieces, PERIOD, BUCKET, "_piece").select(rows.columns)
+
     def _stored(self, spec: TableSpec) -> DataFrame:
         df = self.spark.read.parquet(self._data(spec))
         # folder names are read back with inferred types
@@ -188,8 +207,7 @@ class FeatureStore:
             return None
         last, buckets = self._state(spec) or (None, None)
         if buckets is None:
-            per = int(spec.options.get("rows_per_bucket", ROWS_PER_BUCKET))
-            buckets = int(spec.options.get("buckets", min(MAX_BUCKETS, -(-n // per))))
+            buckets = int(spec.options.get("buckets", min(MAX_BUCKETS, -(-n // spec.rows_per_bucket))))
         bid = (0 if last is None else last + 1) if batch_id is None else batch_id
         keyed = self._placed(keyed, spec, buckets)
         current = None
@@ -206,7 +224,7 @@ class FeatureStore:
         merged = merge_upsert(current, keyed, spec, bid)
         # stage first: the touched folders are read and replaced by one job
         merged.write.parquet(stage)
-        (self.spark.read.schema(merged.schema).parquet(stage).repartition(PERIOD, BUCKET)
+        (self._dealt(self.spark.read.schema(merged.schema).parquet(stage), spec)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("maxRecordsPerFile", 4 * ROWS_PER_BUCKET).partitionBy(PERIOD, BUCKET)
          .parquet(self._data(spec)))
