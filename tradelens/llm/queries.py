@@ -20,6 +20,7 @@ from .substring_dedup import substring_dedup
 from .toxicity import toxicity_scores
 from .warc import ORACLE_SQL as WARC_SQL
 from .warc import pages_to_warc
+from .whitening import whiten
 
 
 @register("op2_substring_dedup")
@@ -75,3 +76,9 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "n_tokens", "epoch", "block")
+
+
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.col("deviation").cast("long"))
