@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..sources.tables import read_table
 from .ann import nearest
 from .decontaminate import contamination
+from .divergence import ORACLE_SQL as DIVERGENCE_SQL
+from .divergence import divergence
 from .html_extract import main_text
 from .jaccard_join import jaccard_join
 from .line_dedup import ORACLE_SQL as LINE_SQL
@@ -78,6 +80,12 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "n_tokens", "epoch", "block")
 
 
+@register("op11_source_divergence", DIVERGENCE_SQL)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(read_table(spark, sf_dir, "documents")).withColumn(
+        "value", F.col("value").cast("long"))
+
+
 @register("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read_table(spark, sf_dir, "embeddings")).withColumn(
