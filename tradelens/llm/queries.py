@@ -12,6 +12,7 @@ from .divergence import ORACLE_SQL as DIVERGENCE_SQL
 from .divergence import divergence
 from .html_extract import main_text
 from .jaccard_join import jaccard_join
+from .license_scan import license_scan
 from .line_dedup import ORACLE_SQL as LINE_SQL
 from .line_dedup import line_dedup
 from .mixing import ORACLE_SQL as MIX_SQL
@@ -86,6 +87,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value", F.col("value").cast("long"))
 
 
+@register("op12_license_scan")
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 @register("op13_whitening")
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read_table(spark, sf_dir, "embeddings")).withColumn(
