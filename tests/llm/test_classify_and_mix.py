@@ -262,3 +262,26 @@ def test_mix_is_native_and_moves_no_text(docs):
     plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
     assert "BroadcastHashJoin" in plan
+
+
+def test_mix_keeps_columns_with_its_own_names(spark):
+    from tradelens.llm.mixing import mix
+    names = ("_key", "_passes", "_src", "_place", "src", "passes", "cut", "place", "row")
+    docs = spark.createDataFrame(
+        [(i, "some words here", f"s{i % 2}", *range(len(names))) for i in range(6)],
+        "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    got = mix(docs)
+    assert got.columns == [*docs.columns, "n_tokens", "epoch", "block"]
+    rows = got.collect()
+    assert rows and all(tuple(r[n] for n in names) == tuple(range(len(names))) for r in rows)
+
+
+def test_a_budget_beyond_the_limit_ends_at_the_limit(spark):
+    from collections import Counter
+
+    from tradelens.llm.mixing import mix
+    docs = spark.createDataFrame([(i, "w " * (i % 5 + 1), "big" if i % 4 else "small")
+                                  for i in range(80)], "doc_id long, text string, source string")
+    tokens = sum(i % 5 + 1 for i in range(80))
+    times = Counter(r.doc_id for r in mix(docs, repeats=4.0, budget=20 * tokens).collect())
+    assert set(times.values()) == {4} and len(times) == 80

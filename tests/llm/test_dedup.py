@@ -135,3 +135,19 @@ def test_components_of_chains_and_stars(spark):
     assert {got[i] for i in range(41)} == {0} and {got[200 + i] for i in range(9)} == {100}
     assert got[305] == got[303] == 303
     assert _components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_one_id_with_two_texts_keeps_its_rows(spark):
+    """doc_id only names the result: each row is judged by its own text."""
+    from tradelens.llm.jaccard_join import jaccard_join, one_of_each_group
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (9, a), (9, "some text of its own only here")]
+    docs = spark.createDataFrame([(*r, "x", "y", 1) for r in rows],
+                                 "doc_id long, text string, _gone string, row string, id int")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join(docs).collect())
+    assert got == [(1, 56, 1), (1, 56, 1), (2, 57, 1), (3, 57, 1), (9, 3, 9), (9, 56, 1)]
+    kept = one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(
+        [(1, a), (1, b), (9, "some text of its own only here")])

@@ -9,7 +9,7 @@ every step below uses.
 1. Slices report their distinct shingles in a packed exchange and learn which
    occur in more than one document (the union of all the others). A document
    below the bound has no partner and leaves with its text; for most documents
-   that is the end. Equal sets become one class (smallest ``doc_id``).
+   that is the end. Equal sets become one class, with a number of its own.
 2. The same count over classes prunes once more and gives every shingle's
    document frequency.
 3. Classes are partitioned into groups of similar sets: equal smallest hash
@@ -28,8 +28,10 @@ every step below uses.
 Nothing is capped: groups are split, queries of a group are dealt in blocks.
 
 Defined cases: null or blank text has an empty set and links with nothing; a
-row with a null ``doc_id`` links with nothing and has a null component; repeated
-rows are one class; extra columns are ignored; an empty table gives no rows.
+row with a null ``doc_id`` links with nothing and has a null component; every row is
+judged by its own text, so rows that repeat share a class and a ``doc_id`` with two texts has two
+sets (``doc_id`` only names the result); texts of any length are read whole; extra columns are
+ignored; an empty table gives no rows.
 Sets are compared through 64-bit shingle hashes.
 """
 
@@ -48,9 +50,9 @@ from ..session import cut_lineage, scratch_path
 from . import packed as P
 from .textscan import LOWER, SPACE, runs, span_hash, spans, window_hash
 
-SETS = "doc_id long, n_shingles long, sig binary, tokens binary"
-SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sig", pa.binary()),
-                        ("tokens", pa.binary())])
+SETS = "doc_id long, n_shingles long, text_md5 binary, sig binary, tokens binary"
+SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("text_md5", pa.binary()),
+                        ("sig", pa.binary()), ("tokens", pa.binary())])
 CLASS = "class long, tokens binary, prefix binary, mh long"
 CLASS_ARROW = pa.schema([("class", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.binary()),
                          ("mh", pa.int64())])
@@ -144,6 +146,8 @@ def _set_pass(width):
         live = (common * DEN >= n * NUM) & (n > 0)
         return pa.Table.from_arrays([
             t.column("doc_id").combine_chunks(), pa.array([len(x) for x in sets], pa.int64()),
+            pa.array([hashlib.md5((x or "").encode()).digest() for x in t.column("text").to_pylist()],
+                     pa.binary()),
             pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() if k else None
                       for x, k in zip(sets, live)], pa.binary()),
             pa.array([x.tobytes() if k else None for x, k in zip(sets, live)], pa.binary()),
@@ -350,9 +354,9 @@ def _components(edges: DataFrame) -> DataFrame:
     return total
 
 
-def jaccard_join(docs: DataFrame, width: int = 5, part: int = 256, block: int = 512,
-                 slices: int | None = None, buckets: int | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) per document."""
+def linked(docs: DataFrame, width: int = 5, part: int = 256, block: int = 512,
+           slices: int | None = None, buckets: int | None = None) -> DataFrame:
+    """doc_id, text_md5, n_shingles, component_id (smallest doc_id reachable by links) per row."""
     spark = docs.sparkSession
     slices, buckets = P.sizes(docs, slices, buckets)
     folder = scratch_path(spark, f"jaccard-{uuid.uuid4().hex}")
@@ -370,10 +374,12 @@ def jaccard_join(docs: DataFrame, width: int = 5, part: int = 256, block: int =
 
     # 2. classes of equal sets, pruned by what other classes cover
     live = sets.where("tokens is not null")
-    classes = live.groupBy("sig").agg(F.min("doc_id").alias("class"),
+    classes = live.groupBy("sig").agg(F.min("doc_id").alias("first_id"),
                                       F.first("tokens").alias("tokens"))
-    c = stored(classes.select("class", "tokens", F.pmod(F.xxhash64("class"), F.lit(slices))
-                              .cast("int").alias("slice")), "classes")
+    # numbered when they are written, so the numbers hold from here on
+    named = stored(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
+    c = named.select("class", "tokens", F.pmod(F.xxhash64("class"), F.lit(slices))
+                     .cast("int").alias("slice"))
     levels = c.groupBy("slice").applyInArrow(_class_pass(buckets), P.ROW).groupBy(
         "bucket").applyInArrow(_matcher(True), P.ROW)
     cand = stored(c.groupBy("slice").cogroup(levels.groupBy("slice")).applyInArrow(
@@ -412,16 +418,29 @@ def jaccard_join(docs: DataFrame, width: int = 5, part: int = 256, block: int =
     roots = _components(links)
     comp = labels.join(roots, labels.label == roots.v, "left").select(
         F.col("class"), F.coalesce("root", "label").alias("component"))
-    of_sig = live.groupBy("sig").agg(F.min("doc_id").alias("class")).join(comp, "class", "left").select(
-        F.col("sig").alias("s"), F.coalesce("component", "class").alias("component"))
-    slim = sets.select("doc_id", "n_shingles", "sig")
+    whole = named.select("sig", "first_id", "class").join(comp, "class", "left").select(
+        F.col("sig").alias("s"), "first_id", F.coalesce("component", "class").alias("component"))
+    smallest = whole.groupBy("component").agg(F.min("first_id").alias("smallest"))
+    of_sig = whole.join(smallest, "component").select("s", "smallest")
+    slim = sets.select("doc_id", "text_md5", "n_shingles", "sig")
     return slim.join(of_sig, slim.sig == of_sig.s, "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        "doc_id", "text_md5", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
+
+
+def jaccard_join(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) per document.
+    ``options`` as for ``linked``."""
+    return linked(docs, **options).drop("text_md5")
 
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """The documents, with all their columns, that are the smallest of their
-    component (and those without an id). Rows of one ``doc_id`` are one document."""
-    gone = jaccard_join(docs, **options).where("component_id <> doc_id").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    """The documents, with all their columns, that have the smallest id of their
+    component (and those without an id). A ``doc_id`` with two texts loses only a text
+    that is near one of a smaller id."""
+    gone = linked(docs, **options).where("component_id <> doc_id").select(
+        F.col("doc_id").alias("id"), F.col("text_md5").alias("md5")).distinct()
+    # all columns in one struct, where no name can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("id"),
+                       F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("md5"))
+    return rows.join(gone, ["id", "md5"], "left_anti").select("row.*")

@@ -4,7 +4,9 @@ A source's weight is its token share to the power ``alpha``, normalised:
 ``alpha`` 1 keeps the corpus as it is, 0 weighs all sources alike. Two
 bisections find ``alpha``: the largest one whose weights still have the entropy
 ``entropy`` * ln(number of sources), raised, if need be, until no source is
-repeated more than ``repeats`` times within the token budget.
+repeated more than ``repeats`` times within the token budget. A budget beyond
+``repeats`` times the corpus is met by no exponent: every source then ends at its
+limit, with fewer tokens than the budget.
 
 The weights are realised exactly to a document: a source's quota (weight times
 budget) buys whole passes over its documents and a part of one more. Each pass
@@ -25,7 +27,8 @@ Defined cases: words are runs without ASCII white space; null or blank texts hav
 no tokens (they cost nothing and come with every pass begun); a null source is a
 source of its own; equal rows share their place and come together; sources
 without tokens get weight 0 and no documents; extra columns are kept by ``mix``
-(clashing ones are replaced); an empty table gives no rows. Sources are assumed
+(n_tokens, epoch and block of the input are replaced); texts of any length are counted whole;
+an empty table gives no rows. Sources are assumed
 to fit one array (their weights are found together).
 """
 
@@ -88,7 +91,8 @@ def weights(sources: DataFrame, entropy: float, repeats: float, budget: int | No
     all_tokens = F.lit(budget) if budget is not None else F.col("found.total")
     return sources.where("tokens > 0").withColumn("found", found).select(
         "source", "tokens", F.col("found.alpha").alias("alpha"), w.alias("weight"),
-        F.floor(w * all_tokens + 0.5).cast("long").alias("quota"))
+        F.least(F.floor(w * all_tokens + 0.5), F.floor(F.lit(float(repeats)) * F.col("tokens")))
+        .cast("long").alias("quota"))
 
 
 def _per_source(df: DataFrame) -> DataFrame:
@@ -161,18 +165,19 @@ def plan_mixture(docs: DataFrame, seed: str = SEED, entropy: float = ENTROPY,
 def mix(docs: DataFrame, seed: str = SEED, entropy: float = ENTROPY, repeats: float = REPEATS,
         budget: int | None = None) -> DataFrame:
     """The documents once per pass that takes them, with n_tokens, epoch and block."""
-    plan = plan_mixture(docs, seed, entropy, repeats, budget).select(
-        F.col("source").alias("_src"), F.col("passes").alias("_passes"), F.col("cut").alias("_cut"))
-    plan = _per_source(plan)
+    plan = _per_source(plan_mixture(docs, seed, entropy, repeats, budget).select(
+        F.col("source").alias("src"), "passes", "cut"))
     keep = [c for c in docs.columns if c not in ("n_tokens", "epoch", "block")]
-    d = docs.select(*(F.col(f"`{c}`") for c in keep), n_tokens().alias("n_tokens"),
+    # all other columns in one struct, where no name can clash
+    d = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"),
+                    F.col("source").cast("string").alias("source"), n_tokens().alias("n_tokens"),
                     doc_key().alias("_key"))
-    d = d.join(plan, F.col("source").cast("string").eqNullSafe(F.col("_src"))).withColumn(
-        "epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_passes")))).withColumn(
-        "_place", place(F.col("epoch"), seed))
-    return d.where("epoch < _passes or _place <= _cut").select(
-        *(F.col(f"`{c}`") for c in keep), "n_tokens", "epoch",
-        F.conv(F.substring("_place", 1, 3), 16, 10).cast("int").alias("block"))
+    d = d.join(plan, F.col("source").eqNullSafe(F.col("src"))).withColumn(
+        "epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes")))).withColumn(
+        "place", place(F.col("epoch"), seed))
+    return d.where("epoch < passes or place <= cut").select(
+        "row.*", "n_tokens", "epoch",
+        F.conv(F.substring("place", 1, 3), 16, 10).cast("int").alias("block"))
 
 
 def _oracle(table: str, seed: str = SEED, entropy: float = ENTROPY, repeats: float = REPEATS) -> str:
