@@ -129,14 +129,14 @@ def test_buckets_follow_the_first_batch(spark, tmp):
     assert 8 <= len(names) <= 10
 
 
-def test_an_outgrown_folder_is_written_by_several_tasks(spark, tmp):
+def test_an_outgrown_bucket_is_split(spark, tmp):
     fs = FeatureStore(spark, tmp, load_catalog({"t": {
         "primary_key": ["k"], "event_time": "d", "rows_per_bucket": 100}}, 1))
     for n in (50, 3000):
         fs.upsert("t", spark.range(n).select(F.col("id").alias("k"), F.lit(DAY).alias("d")))
-    files = parquet_files(os.path.join(tmp, "t_v1", "data"))
-    assert {re.search(r"bucket=\d+", f)[0] for f in files} == {"bucket=0"}
-    assert len(files) >= 10
+    m = fs.manifest("t")
+    assert m.buckets == {"all": 31} and len(m.slots) == 31
+    assert max(s.rows for s in m.slots.values()) < 300
     assert sorted(r.k for r in fs.read("t").collect()) == list(range(3000))
 
 

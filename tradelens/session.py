@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,3 +81,40 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none for a folder that does not exist."""
+    p, fs = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small file of ours (a manifest, a pointer) as text."""
+    p, fs = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is seen whole or not at all: written aside, then renamed. A name
+    that is taken raises ``FileExistsError``."""
+    aside = os.path.join(os.path.dirname(path), f"_aside-{uuid.uuid4().hex}")
+    p, fs = _file_system(spark, aside)
+    stream = fs.create(p, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(to) or not fs.rename(p, to):
+        fs.delete(p, False)
+        raise FileExistsError(path)

@@ -1,22 +1,28 @@
 """Keyed, versioned tables ("feature groups") on plain Parquet.
 
-A table spec is ``{name, version, primary_key, event_time}``; its data lives at
-``<root>/<name>_v<version>/data`` in ``period=<yyyy-MM>/bucket=<b>`` folders. The
-bucket is a hash of the primary key, the number of buckets follows the size of
-the first batch (``rows_per_bucket``, or the option ``buckets``). The period is
-the month of the event time where that is part of the key, or where the option
-``stable_event_time`` says that a key never changes it; else one period holds
-all. So a batch of recent rows touches the recent months only.
-
-Upsert: for every primary key the last batch wins (an upsert overwrites, also by
-a correction with an older event time); within a batch the latest event time
-does. The option ``conflict: event_time`` keeps the latest event time over all
-batches instead. No table format with MERGE is installed, so an upsert reads only
-the folders its batch touches, merges, stages the result and replaces exactly
-those by dynamic partition overwrite. The merge is idempotent, so a job that
-dies mid-write is repaired by running the same batch again. One writer a table
-at a time; batches land and stage in folders of their own.
-A folder that has outgrown ``rows_per_bucket`` is written by several tasks.
+A table spec is ``{name, version, primary_key, event_time}``; its data lives under
+``<root>/<name>_v<version>`` in immutable folders that a manifest names
+(``manifest.py``). Rows are dealt to a period (the month of the event time, where that
+is part of the key or the option ``stable_event_time`` says that a key never changes
+it; else one period holds all) and to a bucket of the key's hash, of about
+``rows_per_bucket`` rows.
+
+*Upsert*: for every primary key the last batch wins (also with an older event time, a
+correction); within a batch the latest event time does. The option ``conflict:
+event_time`` keeps the latest event time over all batches instead.
+
+A batch is appended to the buckets it meets as deltas, without reading them; readers
+merge base and deltas of a bucket by key. A bucket is rewritten (compacted) when its deltas
+reach ``DELTA_SHARE`` of its base or ``MAX_DELTAS`` in number, or when it is split
+because its period has outgrown its buckets. Compaction is paid from a credit of ``COMPACT`` rows per
+row upserted, so an upsert reads and writes at most ``1 + COMPACT`` times its batch and
+one bucket on average, whatever the size of the table; ``compact`` does the rest at once.
+
+*Failures*: nothing is overwritten and the manifest comes last, so a death at any point
+leaves the rows of the last complete upsert; running the batch again repeats it. Old
+folders, those of dead upserts among them, stay for readers until ``vacuum`` (the option
+``retain`` calls it after every upsert and keeps so many versions). One writer
+a table at a time: a second one fails at its commit.
 
 The merge is an aggregate, not a window: ``max_by(row, (batch, event_time))``
 per key with map-side partial aggregation, so a hot key (many updates of one
@@ -25,21 +31,25 @@ key in a batch) is collapsed before the shuffle instead of sorted in one task.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import remove_path
-from .tables import is_missing_path
+from ..session import list_names, read_small, remove_path
+from .manifest import Folder, Manifest, Slot, address, commit, manifest_path, numbers, power, \
+    resolve, split_source
 
 BATCH = "_batch"
-BUCKET, PERIOD = "bucket", "period"
-ROWS_PER_BUCKET, MAX_BUCKETS = 1_000_000, 4096
+KIND, PERIOD, BUCKET = "_kind", "_period", "_bucket"     # names of folders
+BASE, DELTA = "base", "delta"
+ROWS_PER_BUCKET = 1_000_000
+DELTA_SHARE, MAX_DELTAS, COMPACT = 0.25, 64, 8
 
 
 @dataclass(frozen=True)
@@ -122,112 +132,217 @@ class FeatureStore:
         self.spark, self.root, self.catalog = spark, root, dict(catalog)
 
     # -- layout ---------------------------------------------------------------
-    def _data(self, spec: TableSpec) -> str:
-        return os.path.join(spec.location(self.root), "data")
-
-    def _seq_file(self, spec: TableSpec) -> str:
-        return os.path.join(spec.location(self.root), "_LAST_BATCH")
-
-    def _state(self, spec: TableSpec) -> tuple[int, int] | None:
-        """(last batch id, number of buckets), None for a table not written yet."""
-        try:
-            txt = self.spark.read.text(self._seq_file(spec)).first()
-        except AnalysisException as e:
-            if is_missing_path(e):
-                return None
-            raise
-        return (int(txt[0].split()[0]), int(txt[0].split()[1])) if txt else None
-
-    def _write_state(self, spec: TableSpec, last: int, buckets: int) -> None:
-        self.spark.createDataFrame([(f"{last} {buckets}",)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(self._seq_file(spec))
+    def manifest(self, ref: str) -> Manifest | None:
+        """The table's current state; None for a table that was never begun."""
+        return resolve(self.spark, self.catalog[ref].location(self.root))
 
     @staticmethod
-    def _placed(df: DataFrame, spec: TableSpec, buckets: int) -> DataFrame:
-        """The rows with the folder each belongs to."""
-        period = F.coalesce(F.date_format(spec.event_time, "yyyy-MM"), F.lit("none")) \
+    def _period(spec: TableSpec) -> Column:
+        return F.coalesce(F.date_format(spec.event_time, "yyyy-MM"), F.lit("none")) \
             if spec.by_period else F.lit("all")
-        return df.withColumn(PERIOD, period).withColumn(BUCKET, F.pmod(
-            F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(buckets)).cast("int"))
 
-    @staticmethod
-    def _dealt(rows: DataFrame, spec: TableSpec) -> DataFrame:
-        """The rows dealt to write tasks: one a folder, several for a folder that has
-        outgrown ``rows_per_bucket``."""
-        folders = rows.groupBy(PERIOD, BUCKET).agg(
-            F.ceil(F.count("*") / spec.rows_per_bucket).alias("_pieces"))
-        pieces, most = folders.agg(F.sum("_pieces"), F.max("_pieces")).first()
-        if most <= 1:
-            return rows.repartition(PERIOD, BUCKET)
-        # the literal makes the hash differ from the bucket's
-        piece = F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key], F.lit(1)), F.col("_pieces"))
-        return rows.join(folders, [PERIOD, BUCKET]).withColumn("_piece", piece).repartition(
-            pieces, PERIOD, BUCKET, "_piece").select(rows.columns)
-
-    def _stored(self, spec: TableSpec) -> DataFrame:
-        df = self.spark.read.parquet(self._data(spec))
-        # folder names are read back with inferred types
-        return df.withColumn(PERIOD, F.col(PERIOD).cast("string"))
+    def _placed(self, df: DataFrame, spec: TableSpec, buckets: Mapping[str, int]) -> DataFrame:
+        """The rows with the slot each belongs to. ``buckets`` has one entry a period."""
+        known = self.spark.createDataFrame([(p, n, power(n)) for p, n in buckets.items()],
+                                           f"{PERIOD} string, _n int, _power long")
+        cols = [F.col(f"`{c}`") for c in df.columns]
+        # one row a period, from the driver's own list
+        return df.withColumn(PERIOD, self._period(spec)).join(F.broadcast(known), PERIOD).select(
+            *cols, PERIOD, address(F.xxhash64(*[F.col(k) for k in spec.primary_key]),
+                                   F.col("_n"), F.col("_power")).alias(BUCKET))
+
+    def _rows(self, spec: TableSpec, m: Manifest, slots: Sequence[Slot]) -> DataFrame | None:
+        """All stored rows of the slots, several for a key that has deltas."""
+        paths = [os.path.join(spec.location(self.root), f.path) for s in slots for f in s.folders]
+        schema = T.StructType.fromJson(json.loads(m.schema)) if m.schema else None
+        return self.spark.read.schema(schema).parquet(*paths) if paths else None
+
+    def _current(self, spec: TableSpec, m: Manifest, slots: Sequence[Slot]) -> DataFrame:
+        """One row a key: bases without deltas as they are, the others merged."""
+        plain = self._rows(spec, m, [s for s in slots if not s.deltas])
+        mixed = self._rows(spec, m, [s for s in slots if s.deltas])
+        if mixed is not None:
+            mixed = greatest_by_key(mixed, spec.primary_key, spec.rank)
+        if plain is None or mixed is None:
+            one = plain if mixed is None else mixed
+            return one if one is not None else self.spark.createDataFrame(
+                [], T.StructType.fromJson(json.loads(m.schema)))
+        return plain.unionByName(mixed)
 
     # -- API ------------------------------------------------------------------
     def read(self, ref: str, where: Callable[[DataFrame], Column] | str | None = None) -> DataFrame:
-        """Current rows; ``where`` (Column builder or SQL) is pushed down."""
-        spec = self.catalog[ref]
-        if self._state(spec) is None:
+        """Current rows; ``where`` (Column builder or SQL) is pushed down into bases without
+        deltas, elsewhere it follows the merge."""
+        spec, m = self.catalog[ref], self.manifest(ref)
+        if m is None or m.last is None:
             raise FileNotFoundError(f"table {spec.name} v{spec.version} does not exist")
-        df = self._stored(spec).drop(BATCH, BUCKET, PERIOD)
+        df = self._current(spec, m, list(m.slots.values())).drop(BATCH)
         if where is None:
             return df
         return df.where(where if isinstance(where, str) else where(df))
 
     def read_or_empty(self, ref: str, schema, where=None) -> DataFrame:
-        """A missing table reads as an empty frame; other errors surface."""
+        """A missing table reads as an empty frame; other errors (lost state among
+        them) surface."""
         try:
             return self.read(ref, where)
         except FileNotFoundError:
             return self.spark.createDataFrame([], schema)
-        except AnalysisException as e:
-            if is_missing_path(e):
-                return self.spark.createDataFrame([], schema)
-            raise
+
+    def changes(self, ref: str, after: int) -> DataFrame:
+        """Current rows of the keys that batches later than ``after`` wrote; folders that
+        hold no such batch are not read. Keeps the batch in ``_batch``."""
+        spec, m = self.catalog[ref], self.manifest(ref)
+        if m is None or m.last is None:
+            raise FileNotFoundError(f"table {spec.name} v{spec.version} does not exist")
+        late = [Slot(None, [f for f in s.folders if f.batch > after]) for s in m.slots.values()]
+        rows = self._rows(spec, m, late)
+        if rows is None:
+            return self.spark.createDataFrame([], T.StructType.fromJson(json.loads(m.schema)))
+        return greatest_by_key(rows.where(F.col(BATCH) > after), spec.primary_key, spec.rank)
 
     def upsert(self, ref: str, batch: DataFrame, batch_id: int | None = None) -> int | None:
         """Insert / overwrite by primary key; empty input is a no-op.
         Returns the batch id used (None when nothing was written)."""
         spec = self.catalog[ref]
-        # The batch is read several times below (count, touched folders, merge):
-        # land it once in the shared folder instead of recomputing it.
-        work = os.path.join(spec.location(self.root), f"_work-{uuid.uuid4().hex}")
-        incoming, stage = os.path.join(work, "incoming"), os.path.join(work, "staging")
-        batch.write.parquet(incoming)
-        keyed = self.spark.read.schema(batch.schema).parquet(incoming)
-        n = keyed.count()
-        if not n:
-            remove_path(self.spark, work)
-            return None
-        last, buckets = self._state(spec) or (None, None)
-        if buckets is None:
-            buckets = int(spec.options.get("buckets", min(MAX_BUCKETS, -(-n // spec.rows_per_bucket))))
-        bid = (0 if last is None else last + 1) if batch_id is None else batch_id
-        keyed = self._placed(keyed, spec, buckets)
-        current = None
-        if last is not None:
-            # the touched folders: at most periods of the batch x buckets
-            touched: dict[str, list[int]] = {}
-            for r in keyed.select(PERIOD, BUCKET).distinct().collect():
-                touched.setdefault(r[0], []).append(r[1])
-            hit = F.lit(False)
-            for period, some in sorted(touched.items()):
-                here = F.col(PERIOD) == period
-                hit = hit | (here if len(some) == buckets else here & F.col(BUCKET).isin(some))
-            current = self._stored(spec).where(hit)
-        merged = merge_upsert(current, keyed, spec, bid)
-        # stage first: the touched folders are read and replaced by one job
-        merged.write.parquet(stage)
-        (self._dealt(self.spark.read.schema(merged.schema).parquet(stage), spec)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("maxRecordsPerFile", 4 * ROWS_PER_BUCKET).partitionBy(PERIOD, BUCKET)
-         .parquet(self._data(spec)))
-        self._write_state(spec, bid if last is None else max(last, bid), buckets)
+        at = spec.location(self.root)
+        m = self.manifest(ref)
+        if m is None:
+            m = Manifest()
+            commit(self.spark, at, m)
+        # the batch is read several times below: land it once in the shared folder
+        work = os.path.join(at, f"_work-{uuid.uuid4().hex}")
+        counts = self._land(batch, spec, work)
+        bid = (0 if m.last is None else m.last + 1) if batch_id is None else batch_id
+        if counts:
+            new = self.spark.read.schema(batch.schema).parquet(work) \
+                .withColumn(BATCH, F.lit(bid).cast("bigint"))
+            plan = self._plan(spec, m, counts)
+            commit(self.spark, at, self._write(spec, m, new, plan, bid))
         remove_path(self.spark, work)
-        return bid
+        if counts and "retain" in spec.options:
+            self.vacuum(ref, int(spec.options["retain"]))
+        return bid if counts else None
+
+    def compact(self, ref: str) -> None:
+        """Rewrites every bucket that has deltas, so that reading needs no merge."""
+        spec, m = self.catalog[ref], self.manifest(ref)
+        if m is not None and any(s.deltas for s in m.slots.values()):
+            plan = _Plan(dict(m.buckets), {k for k, s in m.slots.items() if s.deltas}, m.credit)
+            commit(self.spark, spec.location(self.root), self._write(spec, m, None, plan, m.last))
+
+    def vacuum(self, ref: str, keep: int = 1) -> None:
+        """Deletes what the last ``keep`` manifests do not name: older versions and the
+        rests of dead upserts. No writer may be at work."""
+        spec = self.catalog[ref]
+        at, spark = spec.location(self.root), self.spark
+        seqs = sorted(numbers(spark, at))
+        held = set()
+        for seq in seqs[-keep:]:
+            held |= {f.path for f in Manifest.load(read_small(spark, manifest_path(at, seq))).folders}
+        for seq in seqs[:-keep]:
+            remove_path(spark, manifest_path(at, seq))
+        for version in list_names(spark, os.path.join(at, "data")):
+            top = os.path.join("data", version)
+            if not any(p.startswith(top + "/") for p in held):
+                remove_path(spark, os.path.join(at, top))
+                continue
+            for kind in list_names(spark, os.path.join(at, top)):
+                for period in list_names(spark, os.path.join(at, top, kind)):
+                    for bucket in list_names(spark, os.path.join(at, top, kind, period)):
+                        path = os.path.join(top, kind, period, bucket)
+                        if bucket.startswith(BUCKET) and path not in held:
+                            remove_path(spark, os.path.join(at, path))
+        for name in list_names(spark, at):
+            if name.startswith("_work-"):
+                remove_path(spark, os.path.join(at, name))
+
+    # -- steps of an upsert ------------------------------------------------------
+    def _land(self, batch: DataFrame, spec: TableSpec, work: str) -> dict[str, int]:
+        """Writes the batch aside; its rows by period."""
+        batch.write.parquet(work)
+        landed = self.spark.read.schema(batch.schema).parquet(work)
+        return {r[0]: r[1] for r in landed.groupBy(self._period(spec)).count().collect()}
+
+    def _plan(self, spec: TableSpec, m: Manifest, counts: Mapping[str, int]) -> _Plan:
+        """Buckets after the batch, and the slots to rewrite: those that are split, and as
+        many that are due as the credit allows."""
+        n = sum(counts.values())
+        stored, buckets = m.rows_by_period(), dict(m.buckets)
+        rewrite: set[tuple[str, int]] = set()
+        for period, more in counts.items():
+            before = buckets.get(period, 0)
+            rows = stored.get(period, 0) + more
+            after = max(before, -(-rows // spec.rows_per_bucket),
+                        1 if before else int(spec.options.get("buckets", 1)))
+            buckets[period] = after
+            for b in range(before, after):
+                while b >= before > 0:
+                    b = split_source(b)
+                if before:
+                    rewrite.add((period, b))
+        slots = {k: s for k, s in m.slots.items()}
+        most = max((s.rows for s in slots.values()), default=0)
+        credit = min(m.credit, most) + COMPACT * n - sum(
+            slots[k].rows for k in rewrite if k in slots)
+        due = [(s.delta_rows / max(1, s.base.rows if s.base else 0), len(s.deltas), k)
+               for k, s in slots.items() if k not in rewrite and s.deltas]
+        for share, number, k in sorted(due, reverse=True):
+            if number >= MAX_DELTAS or (share >= DELTA_SHARE and slots[k].rows <= credit):
+                rewrite.add(k)
+                credit -= slots[k].rows
+        return _Plan(buckets, rewrite, max(0, credit))
+
+    def _write(self, spec: TableSpec, m: Manifest, new: DataFrame | None, plan: _Plan,
+               bid: int) -> Manifest:
+        """Writes one folder of deltas and rewritten slots; the manifest that names it."""
+        spark, at = self.spark, spec.location(self.root)
+        keeps = {k: s for k, s in m.slots.items() if k not in plan.rewrite}
+        old = self._rows(spec, m, [m.slots[k] for k in sorted(plan.rewrite) if k in m.slots])
+        merged, deltas = old, None
+        if new is not None:
+            # slots that stay take deltas, all others are written as bases
+            stays = spark.createDataFrame(
+                [k for k in keeps], f"{PERIOD} string, {BUCKET} int").withColumn("_stays", F.lit(True))
+            # one row a slot, from the driver's own manifest
+            sent = self._placed(new, spec, plan.buckets).join(
+                F.broadcast(stays), [PERIOD, BUCKET], "left")
+            deltas = sent.where("_stays").select(*new.columns)
+            begun = sent.where("_stays is null").select(*new.columns)
+            merged = begun if old is None else old.unionByName(begun, allowMissingColumns=True)
+        out = greatest_by_key(merged, spec.primary_key, spec.rank).withColumn(KIND, F.lit(BASE))
+        if deltas is not None and keeps:
+            out = out.unionByName(deltas.withColumn(KIND, F.lit(DELTA)), allowMissingColumns=True)
+        schema = out.drop(KIND).schema
+        if m.schema:      # columns that only older rows have stay
+            known = T.StructType.fromJson(json.loads(m.schema))
+            schema = T.StructType(schema.fields + [f for f in known if f.name not in schema.names])
+        seq = m.seq + 1
+        version = os.path.join("data", f"{seq:012}-{uuid.uuid4().hex[:8]}")
+        placed = self._placed(out, spec, plan.buckets)
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                    len(plan.rewrite) + sum(plan.buckets.values()) - sum(m.buckets.values()))
+        placed.repartition(tasks, KIND, PERIOD, BUCKET).write.option(
+            "maxRecordsPerFile", 4 * ROWS_PER_BUCKET).partitionBy(KIND, PERIOD, BUCKET).parquet(
+            os.path.join(at, version))
+        # counted from the files' footers
+        done = spark.read.schema(f"{KIND} string, {PERIOD} string, {BUCKET} int").parquet(
+            os.path.join(at, version)).groupBy(KIND, PERIOD, BUCKET).count().collect()
+        slots = {k: replace(s, deltas=list(s.deltas)) for k, s in keeps.items()}
+        for kind, period, bucket, rows in done:
+            folder = Folder(os.path.join(version, f"{KIND}={kind}", f"{PERIOD}={period}",
+                                         f"{BUCKET}={bucket}"), rows, bid)
+            slot = slots.setdefault((period, bucket), Slot())
+            if kind == BASE:
+                slot.base = folder
+            else:
+                slot.deltas.append(folder)
+        last = bid if m.last is None else max(m.last, bid)
+        return Manifest(seq, last, schema.json(), plan.buckets, slots, plan.credit)
+
+
+@dataclass
+class _Plan:
+    buckets: dict[str, int]             # of every period, after the upsert
+    rewrite: set[tuple[str, int]]       # slots whose rows are read and written again
+    credit: int
