@@ -16,6 +16,7 @@ from ..functions import form4 as X
 from ..operators import clean as C
 from ..sources import topics as TP
 from ..sources.catalog import FeatureStore, load_catalog
+from ..sources.segments import Consumer, SegmentTopic
 from ..sources.tables import read_table
 from ..streaming import streams as ST
 from .filing_docs import PARSED_SQL, landed_filing_texts
@@ -39,43 +40,48 @@ def _stream(spark, path, schema, batch_files=None):
                                 batch_size=batch_files or ST.files_per_batch(spark, path))
 
 
+def _topic(spark, sf, run):
+    """The messages published as a topic of several segments, and a limit in records that
+    takes a few polls."""
+    topic = SegmentTopic(spark, os.path.join(run, "topic"))
+    n = topic.publish(raw_messages(spark, sf))
+    return topic, max(1, -(-n // 3))
+
+
 @register("topic_read_bounded", with_ctes("select event_id, key, value from m", **_M))
 def q_topic_read_bounded(spark, sf):
-    """Drain the topic to its end in bounded batches; values not decoded."""
+    """Consume the topic to its end, a bounded number of records at a time; values not
+    decoded."""
     run = ST.run_dir(spark, "bounded")
-    path, schema = _landed_messages(spark, sf, run)
+    topic, limit = _topic(spark, sf, run)
     out = os.path.join(run, "out")
-    ST.drain(_stream(spark, path, schema).select("event_id", "key", "value"),
-             ST.batch_sink(out), os.path.join(run, "ckpt"))
-    return ST.read_batches(spark, out).drop("batch_id")
+    Consumer(topic, "bounded").drain(ST.batch_sink(out), limit)
+    return ST.read_batches(spark, out).select("event_id", "key", "value")
 
 
 @register("stream_rate_limit", with_ctes(
     "select count(*) as n_rows, true as several_batches, true as within_limit from m", **_M))
 def q_stream_rate_limit(spark, sf):
-    """A bounded number of landed files per trigger: all rows arrive, in several
-    batches, none of which takes more files than the limit."""
+    """A bounded number of records per poll: all records arrive, in several batches, none
+    of which has more records than the limit."""
     run = ST.run_dir(spark, "rate")
-    path, schema = _landed_messages(spark, sf, run)
+    topic, limit = _topic(spark, sf, run)
     out = os.path.join(run, "out")
-    limit = ST.files_per_batch(spark, path)
-    stream = _stream(spark, path, schema, limit).select(
-        "event_id", F.col("_metadata.file_path").alias("file"))
-    ST.drain(stream, ST.batch_sink(out), os.path.join(run, "ckpt"))
-    per_batch = ST.read_batches(spark, out).groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("files"))
-    return per_batch.agg(F.sum("n").alias("n_rows"), (F.count("*") > 1).alias("several_batches"),
-                         (F.max("files") <= limit).alias("within_limit"))
+    Consumer(topic, "rate").drain(ST.batch_sink(out), limit)
+    per_batch = ST.read_batches(spark, out).groupBy("batch_id").count()
+    return per_batch.agg(F.sum("count").alias("n_rows"), (F.count("*") > 1).alias("several_batches"),
+                         (F.max("count") <= limit).alias("within_limit"))
 
 
 @register("topic_read_at_least_once", with_ctes(
     "select event_id, json_extract(value, '$.k')::bigint as k from m where json_valid(value)",
     **_M))
 def q_topic_read_at_least_once(spark, sf):
-    """Long-lived consumer: decode, skip bad messages (dead letter), write;
-    offsets commit after the sink, the sink is idempotent per batch."""
+    """Long-lived consumer: decode, skip bad messages (dead letter), write; offsets commit
+    after the sink, the sink is idempotent per batch. The first consumer dies after its
+    second sink and before the commit; another one of the group takes over."""
     run = ST.run_dir(spark, "alo")
-    path, schema = _landed_messages(spark, sf, run)
+    topic, limit = _topic(spark, sf, run)
     out, dead = os.path.join(run, "out"), os.path.join(run, "dead")
 
     def sink(batch, batch_id):
@@ -84,7 +90,14 @@ def q_topic_read_at_least_once(spark, sf):
             os.path.join(out, f"batch_id={batch_id}"))
         bad.write.mode("overwrite").parquet(os.path.join(dead, f"batch_id={batch_id}"))
 
-    ST.drain(_stream(spark, path, schema), sink, os.path.join(run, "ckpt"))
+    first = Consumer(topic, "store")
+    for last in (False, True):
+        poll = first.poll(limit)
+        if poll.size:
+            sink(poll.records, poll.batch)
+            if not last:
+                first.commit(poll)
+    Consumer(topic, "store").drain(sink, limit)
     return ST.read_batches(spark, out).drop("batch_id")
 
 

@@ -143,6 +143,10 @@ class FeatureStore:
 
     def _placed(self, df: DataFrame, spec: TableSpec, buckets: Mapping[str, int]) -> DataFrame:
         """The rows with the slot each belongs to. ``buckets`` has one entry a period."""
+        if not spec.by_period:
+            n = buckets.get("all", 1)
+            return df.withColumn(PERIOD, F.lit("all")).withColumn(BUCKET, address(
+                F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(n), F.lit(power(n))))
         known = self.spark.createDataFrame([(p, n, power(n)) for p, n in buckets.items()],
                                            f"{PERIOD} string, _n int, _power long")
         cols = [F.col(f"`{c}`") for c in df.columns]
