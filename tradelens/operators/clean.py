@@ -88,11 +88,13 @@ NUMERIC = {"shares": "int", "price": "double", "remaining_shares": "int", "direc
 FLAGS = ("rule105b1", "derivative", "equity_swap")
 
 
-def clean_transactions(tx: DataFrame) -> DataFrame:
+def clean_transactions(tx: DataFrame, dedup: bool = True) -> DataFrame:
     """The store writer's steps, on the columns present: sentinels to null, exact
     duplicates and rows with a null dropped, tickers normalised, flags parsed,
-    numbers and dates typed or rejected."""
-    out = normalize_text_keys(dropna_any(dedup_exact(null_sentinels(tx))), ("ticker",))
+    numbers and dates typed or rejected. ``dedup=False`` leaves exact duplicates to a
+    keyed upsert that follows."""
+    out = null_sentinels(tx)
+    out = normalize_text_keys(dropna_any(dedup_exact(out) if dedup else out), ("ticker",))
     strings = set(string_columns(out))
     out = parse_bool_flags(out, [c for c in FLAGS if c in strings])
     out = cast_numeric_or_reject(out, {c: t for c, t in NUMERIC.items() if c in out.columns})

@@ -170,7 +170,7 @@ def ingested(spark, sf):
     from ..operators import clean as C
     from ..session import cut_lineage, scratch_path
     from ..sources import master_index as MI
-    from ..sources.catalog import FeatureStore, latest_by_key, load_catalog
+    from ..sources.catalog import FeatureStore, load_catalog
     from .index_docs import index_lines
     from .target import TARGET_CATALOG
     index = MI.filter_form_type(MI.parse_index_lines(index_lines(spark, sf)), "4")
@@ -179,14 +179,14 @@ def ingested(spark, sf):
     # parsed once and stored, as the topic between parser and store writer holds it:
     # the cleaning filters would otherwise be pushed into the parse and repeat it
     tx = cut_lineage(X.with_message_fields(X.explode_transactions(X.parse_filings(texts))))
-    typed = C.clean_transactions(tx)
+    typed = C.clean_transactions(tx, dedup=False)
     # The composite key is not unique inside a filing (two nodes with the same
     # link, remaining shares and branch): the upsert keeps one of them, the
     # latest date, then the larger shares, price and so on, so the survivor is
-    # deterministic.
+    # deterministic. Exact duplicates share their key and go with it, in the same shuffle.
     store = FeatureStore(spark, scratch_path(spark, f"store-{uuid.uuid4().hex[:12]}"),
-                         load_catalog(TARGET_CATALOG, 1))
-    store.upsert("bt4", latest_by_key(typed, ("key",), "date", order_extra=_SURVIVOR))
+                         load_catalog({"bt4": {**TARGET_CATALOG["bt4"], "order": _SURVIVOR}}, 1))
+    store.upsert("bt4", typed)
     return store.read("bt4")
 
 

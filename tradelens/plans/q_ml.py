@@ -9,18 +9,20 @@ model scoring are checked by row counts.
 from __future__ import annotations
 
 import hashlib
-import os
+import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import ml as ML
+from ..operators.search import search_within
 from ..session import cut_lineage, scratch_path
-from ..sources.tables import is_missing_path
+from ..sources.catalog import FeatureStore, load_catalog
+from ..sources.models import ModelStore
+from ..sources.tables import input_stamp, table_path
 from . import q_target
-from .proxies import with_ctes
+from . import target as TG
+from .proxies import transactions, with_ctes
 from .registry import register
 
 RT4 = dict(rt4=q_target._rt4_sql_cte())
@@ -35,6 +37,40 @@ def rt4(spark, sf):
     return q_target.q_build_training_target(spark, sf)
 
 
+def _stamped(spark, sf, name):
+    """A place in the shared folder for what is derived from a data folder as it is now."""
+    stamp = "|".join([sf.rstrip("/"), input_stamp(spark, table_path(sf, "lineitem")),
+                      input_stamp(spark, table_path(sf, "orders"))])
+    return scratch_path(spark, f"{name}-{hashlib.sha256(stamp.encode()).hexdigest()[:16]}")
+
+
+def _features(spark, sf):
+    """The store of the feature tables."""
+    return FeatureStore(spark, _stamped(spark, sf, "features"), load_catalog(TG.TARGET_CATALOG, 1))
+
+
+def _has(store, ref):
+    m = store.manifest(ref)
+    return m is not None and m.last is not None
+
+
+def stored_rt4(spark, sf):
+    """The stored training target; the target service's upsert comes first if it never ran."""
+    store = _features(spark, sf)
+    if not _has(store, "rt4"):
+        store.upsert("rt4", rt4(spark, sf))
+    return store.read("rt4")
+
+
+def stored_bir4(spark, sf):
+    """The stored inference features, built from the stored target if they are not there."""
+    store = _features(spark, sf)
+    if not _has(store, "bir4"):
+        store.upsert("bir4", TG.build_inference_features(
+            transactions(spark, sf), stored_rt4(spark, sf), direction="A"))
+    return store.read("bir4")
+
+
 def _prior(spark, sf):
     """Predictions = the leakage-safe expanding average; label = target."""
     return rt4(spark, sf).select("key", "ticker", F.col(TARGET).alias("label"),
@@ -97,8 +133,11 @@ def q_mae_negative(spark, sf):
 @register("row_counts", with_ctes(
     "select count(*) as n_rows, count(distinct ticker) as n_tickers from rt4", **RT4))
 def q_row_counts(spark, sf):
-    return rt4(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"),
-                              F.count_distinct("ticker").alias("n_tickers"))
+    """Counted on two columns of the stored target, without building it again. (``observe``
+    would count during the write, but the first observation of a session makes it
+    unserialisable for the closures of Spark ML's models in this version.)"""
+    return stored_rt4(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.count_distinct("ticker").alias("n_tickers"))
 
 
 @register("align_predictions", with_ctes(
@@ -119,16 +158,17 @@ def q_order_intents(spark, sf):
     return ML.order_intents(_prior(spark, sf), threshold=THRESHOLD)
 
 
-def _model_path(spark, sf):
-    """One model per data folder, by its whole path."""
-    whole = hashlib.sha256(sf.rstrip("/").encode()).hexdigest()[:16]
-    return scratch_path(spark, f"model_{whole}")
+def _models(spark, sf):
+    """The stored models of a data folder."""
+    return ModelStore(spark, _stamped(spark, sf, "models"))
+
+
+BUDGET_S = 15.0
 
 
 def _training_frame(spark, sf):
-    """(rows, features): the training frame without the dropped columns, stored
-    once, as fitting reads it several times."""
-    df = cut_lineage(C.drop_if_present(rt4(spark, sf), DROPPED))
+    """(rows, features): the stored target without the dropped columns."""
+    df = C.drop_if_present(stored_rt4(spark, sf), DROPPED)
     return df, ML.feature_columns(df, target=TARGET, ids=IDS)
 
 
@@ -139,17 +179,24 @@ def _train(spark, sf, families=("linear",)):
     return model, test, feats
 
 
+def _search(spark, sf, budget_s=BUDGET_S):
+    """(search, test rows): all families within the time budget, on the training part."""
+    df, feats = _training_frame(spark, sf)
+    train, test = ML.train_test_split(df, key="key", test_fraction=0.2)
+    return search_within(train, features=feats, target=TARGET, key="key", budget_s=budget_s), test
+
+
 @register("train_regressor")
 def q_train_regressor(spark, sf):
     """Model search over the regressor families (linear, random forest, boosted
-    trees), each with a small grid and a held-out MAE; one row per family, the
-    leader flagged."""
-    df, feats = _training_frame(spark, sf)
-    train, _ = ML.train_test_split(df, key="key", test_fraction=0.2)
-    _, scores = ML.search_regressors(train, features=feats, target=TARGET)
-    best = min(m for _, m in scores)
-    return spark.createDataFrame([(f, m, m == best) for f, m in scores],
-                                 "family string, validation_mae double, leader boolean")
+    trees) within a time budget; one row per trial with its share of the training
+    rows and held-out MAE, the leader flagged."""
+    found, _ = _search(spark, sf)
+    best = found.leader
+    return spark.createDataFrame(
+        [(t.candidate.family, str(dict(t.candidate.params)), t.share, t.mae, t is best)
+         for t in found.trials],
+        "family string, params string, one_in int, validation_mae double, leader boolean")
 
 
 @register("score")
@@ -160,11 +207,11 @@ def q_score(spark, sf):
 
 @register("train_and_backtest")
 def q_train_and_backtest(spark, sf):
-    """drop -> features -> split -> search all families -> score -> rows predicted
-    negative -> back-test + MAE -> save the model to the shared folder."""
-    model, test, _ = _train(spark, sf, ML.FAMILIES)
-    model.write().overwrite().save(_model_path(spark, sf))
-    pred = cut_lineage(ML.score(model, test, keep=["key", "ticker", TARGET]).withColumnRenamed(
+    """stored target -> drop -> features -> split -> budgeted search over all families ->
+    score -> rows predicted negative -> back-test + MAE -> store the model as the leader."""
+    found, test = _search(spark, sf)
+    _models(spark, sf).save(found.model)
+    pred = cut_lineage(ML.score(found.model, test, keep=["key", "ticker", TARGET]).withColumnRenamed(
         TARGET, "label").where(F.col("prediction") < 0))
     bt = ML.backtest_shorts(pred, threshold=THRESHOLD)
     mae = ML.mae_negative(pred)
@@ -175,40 +222,37 @@ def q_train_and_backtest(spark, sf):
 
 @register("model_store")
 def q_model_store(spark, sf):
-    """Save the fitted pipeline, load it back, score with the loaded copy."""
+    """Store the fitted pipeline as a version, load the leader back, score with the loaded
+    copy; rows carry the version (1 in a store of its own)."""
     model, test, _ = _train(spark, sf)
-    path = _model_path(spark, sf) + "_store"
-    model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    return ML.score(loaded, test, keep=["key"])
+    store = ModelStore(spark, scratch_path(spark, f"models-{uuid.uuid4().hex}"))
+    store.save(model)
+    loaded, version = store.load()
+    return ML.score(loaded, test, keep=["key"]).withColumn("model_version", F.lit(version))
 
 
 def scoring_inputs(spark, sf):
-    """(model, rows): the saved model (trained the same way if there is none yet)
-    and the cleaned inference rows, their shares valued in USD as in training."""
-    path = _model_path(spark, sf)
-    try:
-        spark.read.text(os.path.join(path, "metadata")).first()
-    except AnalysisException as e:
-        if not is_missing_path(e):
-            raise
-        _train(spark, sf, ML.FAMILIES)[0].write().overwrite().save(path)
-    rows = C.dropna_any(C.dedup_exact(q_target.q_build_inference_features(spark, sf)))
+    """(model, version, rows): the leader (trained if there is none yet) and the cleaned
+    stored inference rows, their shares valued in USD as in training."""
+    models = _models(spark, sf)
+    if models.leader() is None:
+        models.save(_search(spark, sf)[0].model)
+    rows = C.dropna_any(C.dedup_exact(stored_bir4(spark, sf)))
     usd = {"tx_value": "shares", "remaining_value": "remaining_shares",
            "direct_holding": "direct_holding", "indirect_holding": "indirect_holding"}
-    return PipelineModel.load(path), cut_lineage(C.drop_if_present(rows.withColumns(
+    return *models.load(), cut_lineage(C.drop_if_present(rows.withColumns(
         {dst: F.col(src) * F.col("price") for dst, src in usd.items()}), DROPPED))
 
 
 @register("score_and_order")
 def q_score_and_order(spark, sf):
-    """Load the saved model, score the inference rows, check alignment, emit order
+    """Load the leader, score the stored inference rows, check alignment, emit order
     intents."""
-    model, rows = scoring_inputs(spark, sf)
-    scored = cut_lineage(ML.score(model, rows))
+    model, version, rows = scoring_inputs(spark, sf)
+    scored = cut_lineage(ML.score(model, rows).withColumn("model_version", F.lit(version)))
     # what feeds the orders, minus its prediction, must equal the input (multiset
     # fingerprint: two aggregates instead of two full-row shuffles)
-    if not C.same_rows(scored.drop("prediction"), rows):
+    if not C.same_rows(scored.drop("prediction", "model_version"), rows):
         raise AssertionError("scored rows do not match the input rows")
     return ML.order_intents(scored, threshold=THRESHOLD)
 
@@ -260,8 +304,6 @@ def q_train_regressor_ols(spark, sf):
 def q_src_csv_fallback(spark, sf):
     """Scoring rows exported to CSV in the shared folder and loaded back with
     an explicit schema (the store-less path of the scoring job)."""
-    import uuid
-
     from ..sources.dimensions import read_scoring_csv
     path = scratch_path(spark, f"scoring-csv-{uuid.uuid4().hex[:12]}")
     rows = rt4(spark, sf).select("key", "ticker", "price", "avg_target_expanding")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import master_index as MI
-from ..sources.catalog import TableSpec, latest_by_key, merge_upsert
+from ..sources.catalog import latest_by_key
 from ..sources.html import page_links
 from ..sources.tables import read_table
 from .index_docs import INDEX_SQL, index_lines
@@ -112,8 +112,21 @@ _STORED_SQL = (f"select * from p where date <= date '{CUTOFF}' and ticker < 'T5'
     "group by ticker) h using (ticker) where h.hw is null or p.date > h.hw",
     p=PRICES_SQL, s=_STORED_SQL))
 def q_price_refresh_incremental(spark, sf):
-    from ..sources.prices import new_bars
-    return new_bars(price_bars(spark, sf), _stored_prices(spark, sf))
+    """The history is stored once; the bars after the marks kept with it are the new ones."""
+    from ..sources import prices as PR
+    store = _price_store(spark)
+    PR.refresh_bars(store, _stored_prices(spark, sf))
+    return PR.bars_after(price_bars(spark, sf), PR.stored_marks(store))
+
+
+def _price_store(spark):
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.catalog import FeatureStore, load_catalog
+    from ..sources.prices import PRICE_CATALOG
+    return FeatureStore(spark, scratch_path(spark, f"store-{uuid.uuid4().hex[:12]}"),
+                        load_catalog(PRICE_CATALOG, 1))
 
 
 @register("refresh_prices", with_ctes(
@@ -123,17 +136,17 @@ def q_price_refresh_incremental(spark, sf):
     "(select distinct upper(trim(ticker)) from tx)",
     p=PRICES_SQL, s=_STORED_SQL, tx=TRANSACTIONS_SQL))
 def q_refresh_prices(spark, sf):
-    """Incremental refresh composite: tickers taken from the transaction
-    table, their bars after each high-water mark upserted into ``p``."""
+    """Incremental refresh composite: tickers taken from the transaction table, their bars
+    after each stored mark upserted into the stored ``p``, which is read back."""
     from ..operators import clean as C
-    from ..sources.prices import new_bars
+    from ..sources.prices import refresh_bars
     from .proxies import transactions
     from .target import semi_join_tickers
-    stored = _stored_prices(spark, sf)
+    store = _price_store(spark)
+    refresh_bars(store, _stored_prices(spark, sf))
     tickers = C.normalize_text_keys(transactions(spark, sf).select("ticker"))
-    bars = semi_join_tickers(price_bars(spark, sf), tickers)
-    spec = TableSpec("p", 1, ("ticker", "date"), "date")
-    return merge_upsert(stored, new_bars(bars, stored), spec, 1).drop("_batch")
+    refresh_bars(store, semi_join_tickers(price_bars(spark, sf), tickers))
+    return store.read("p")
 
 
 def _store(spark, name, key):

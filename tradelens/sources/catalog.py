@@ -9,7 +9,8 @@ it; else one period holds all) and to a bucket of the key's hash, of about
 
 *Upsert*: for every primary key the last batch wins (also with an older event time, a
 correction); within a batch the latest event time does. The option ``conflict:
-event_time`` keeps the latest event time over all batches instead.
+event_time`` keeps the latest event time over all batches instead, and ``order`` names
+columns that decide between rows of one batch and event time.
 
 A batch is appended to the buckets it meets as deltas, without reading them; readers
 merge base and deltas of a bucket by key. A bucket is rewritten (compacted) when its deltas
@@ -67,8 +68,9 @@ class TableSpec:
     @property
     def rank(self) -> tuple[str, ...]:
         """What decides between rows of one key, most important first."""
-        return ((self.event_time, BATCH) if self.options.get("conflict") == "event_time"
-                else (BATCH, self.event_time))
+        first = ((self.event_time, BATCH) if self.options.get("conflict") == "event_time"
+                 else (BATCH, self.event_time))
+        return (*first, *self.options.get("order", ()))
 
     @property
     def rows_per_bucket(self) -> int:
