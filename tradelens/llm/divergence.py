@@ -41,13 +41,13 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .bitmap import bits_for, collect_bitmap, contains
-from .packed import run_starts, shuffle_partitions
+from .packed import run_starts
 from .textscan import LOWER, join_hash, runs, span_hash, spans
 
 MIN_DOCS, TOP_TERMS = 3, 200
 FIRST_LEVEL = 2
 UNIT = 1_000_000_000
-SLICE_ROWS, SOURCE_BLOCK = 500_000, 256
+SLICE_ROWS, SOURCE_BLOCK = 200_000, 256
 CELLS = 1 << 21     # cells of one matrix of terms x sources
 
 # everything but a-z and non-ASCII (applied after lower-casing A-Z)
@@ -260,9 +260,8 @@ def source_groups(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 def pair_divergence(terms: DataFrame, groups: DataFrame) -> DataFrame:
     """lang, source, item (another source of the language), value."""
-    spark = terms.sparkSession
     blocks = (groups.agg(F.max("i")).first()[0] or 0) // SOURCE_BLOCK + 1
-    slices = max(shuffle_partitions(spark), -(-terms.count() // SLICE_ROWS))
+    slices = max(1, -(-terms.count() // SLICE_ROWS))
 
     def every(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
