@@ -138,6 +138,19 @@ def line_spans(buf: np.ndarray, off: np.ndarray):
     return start, end, np.concatenate([[0], np.cumsum(per_row)])
 
 
+def byte_sums(buf: np.ndarray) -> np.ndarray:
+    """Running sums of the bytes times the powers of the step, for ``sums_hash``."""
+    c = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_BYTE[buf] * _powers(max(len(buf) + 1, RUN_BYTES + 1))[0][:len(buf)], out=c[1:])
+    return c
+
+
+def sums_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``span_hash`` from running sums that several hashings share."""
+    down = _powers(max(len(sums), RUN_BYTES + 1))[1]
+    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _JOIN)
+
+
 def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of every byte span (differences of one running sum)."""
     if not len(start):
