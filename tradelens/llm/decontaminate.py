@@ -9,7 +9,8 @@ and all words inside a verified occurrence are marked.
 
 The broadcast is bounded: about ``max_windows`` (window, item) pairs (some 100
 bytes each) at a time, counted and blocked by hash. A larger benchmark takes several passes
-over the documents; each adds its marks to the stored result of the one before.
+over the documents; each adds its marks to the stored result of the one before, and
+the driver and the workers hold one block at a time.
 Documents are never shuffled.
 
 Defined cases: null text has no words; a benchmark item without words has no
@@ -21,6 +22,7 @@ columns are ignored by the report and kept by the filter.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,15 +100,18 @@ class WindowSet:
 
 
 def window_sets(benchmark: DataFrame, width: int = WIDTH,
-                max_windows: int = 500_000) -> list[WindowSet]:
-    """The benchmark's windows in blocks of about ``max_windows`` at most."""
+                max_windows: int = 500_000) -> tuple[int, Iterator[WindowSet]]:
+    """The number of blocks of about ``max_windows`` windows at most that hold the
+    benchmark, and the blocks; each is collected when it is asked for, so the driver
+    holds one at a time."""
     raw = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     w = cut_lineage(raw.mapInArrow(
         _item_windows(width), "n int, h long, words binary, item_id long").groupBy(
         "n", "h", "words").agg(F.collect_set("item_id").alias("items")))
     size = w.agg(F.sum(F.greatest(F.size("items"), F.lit(1)))).first()[0] or 0
     blocks = -(-size // max_windows) or 1
-    return [_collected(w.where(F.pmod(F.col("h"), F.lit(blocks)) == k)) for k in range(blocks)]
+    return blocks, (_collected(w.where(F.pmod(F.col("h"), F.lit(blocks)) == k))
+                    for k in range(blocks))
 
 
 def _collected(w: DataFrame) -> WindowSet:
@@ -120,10 +125,8 @@ REPORT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_h
 STATE = "doc_id long, text string, marks binary, items array<bigint>"
 
 
-def _marker(spark, found: WindowSet):
-    """One pass: adds the block's marks and items to those of earlier passes."""
-    held = spark.sparkContext.broadcast(found)
-
+def _marker(held):
+    """One pass: adds the marks and items of a broadcast block to those of earlier passes."""
     def run(batches):
         for b in batches:
             marks, items = [], []
@@ -145,14 +148,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
                   max_windows: int = 500_000) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated per document."""
     spark = docs.sparkSession
-    blocks = window_sets(benchmark, width, max_windows)
+    n_blocks, blocks = window_sets(benchmark, width, max_windows)
     state = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"),
                         F.lit(None).cast("binary").alias("marks"),
                         F.lit(None).cast("array<bigint>").alias("items"))
-    for found in blocks[:-1]:
-        state = cut_lineage(state.mapInArrow(_marker(spark, found), STATE))
-    last = _marker(spark, blocks[-1])
+    for _ in range(n_blocks - 1):
+        held = spark.sparkContext.broadcast(next(blocks))
+        state = cut_lineage(state.mapInArrow(_marker(held), STATE))
+        held.unpersist()
+    last = _marker(spark.sparkContext.broadcast(next(blocks)))
 
     def report(batches):
         for b in last(batches):
@@ -174,15 +179,15 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDT
     """The documents without those that hold a benchmark window; with
     ``spans_only`` every document, its marked words cut from the text instead."""
     spark = docs.sparkSession
-    blocks = window_sets(benchmark, width, max_windows)
-    schema, carried = docs.schema, spans_only and len(blocks) > 1
+    n_blocks, blocks = window_sets(benchmark, width, max_windows)
+    schema, carried = docs.schema, spans_only and n_blocks > 1
     if carried:      # marks of all blocks are made on the unchanged text
         name = "marks"
         while name in map(str.lower, docs.columns):
             name += "_"
         docs = docs.withColumn(name, F.lit(None).cast("binary"))
-    for k, found in enumerate(blocks):
-        held, last = spark.sparkContext.broadcast(found), k == len(blocks) - 1
+    for k in range(n_blocks):
+        held, last = spark.sparkContext.broadcast(next(blocks)), k == n_blocks - 1
 
         def run(batches, held=held, last=last):
             for b in batches:
@@ -205,6 +210,9 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDT
                 at = b.schema.get_field_index("text")
                 yield b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
         docs = docs.mapInArrow(run, schema if last else docs.schema)
+        if not last:     # a worker holds one block, not those of all passes
+            docs = cut_lineage(docs)
+            held.unpersist()
     return docs
 
 
