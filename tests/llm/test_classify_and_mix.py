@@ -13,8 +13,8 @@ import pytest
 
 import corpus_pipeline
 from tradelens.llm import mixing
-from tradelens.llm.decontaminate import contamination, remove_contaminated
-from tradelens.llm.quality import quality_filter, quality_scores
+from tradelens.llm.decontaminate import contamination, remove_contaminated, window_sets
+from tradelens.llm.quality import _blocks, _within, quality_filter, quality_scores
 from tradelens.llm.toxicity import fit_toxicity, term_places, toxicity_scores
 
 from .test_dedup import brute_jaccard, brute_lines
@@ -101,6 +101,32 @@ def test_quality_filter_keeps_columns(labelled):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == good
 
 
+def test_dictionaries_see_whole_texts():
+    for n in (0, 1, 7, 8, 1023, 1024, 1025, 1031, 1032, 5000):
+        raw = bytes(i % 251 for i in range(n))
+        assert b"".join(_blocks(raw)) == raw
+        assert n < 8 or min(map(len, _blocks(raw))) >= 8
+    rows = [(0, 0, 60), (0, 1, 50), (0, 2, 40), (1, 0, 101), (1, 1, 100)]
+    assert _within(rows, 100) == [(0, 0), (0, 2), (1, 1)]
+
+
+def test_a_quality_sample_with_repeated_and_long_rows(spark, labelled):
+    docs, labels, _ = labelled
+    long = docs.limit(1).selectExpr("doc_id", "repeat('word and more ', 200000) as text")
+    many = docs.select("doc_id", "text").unionByName(docs.select("doc_id", "text")).unionByName(long)
+    got = quality_scores(many, labels, text_bytes=20000).collect()
+    assert len(got) == many.count() and all(0 <= r.score <= 1 for r in got)
+
+
+def test_benchmark_blocks_come_one_at_a_time(spark):
+    bench = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(20)],
+                                  "item_id long, text string")
+    n, blocks = window_sets(bench, max_windows=25)
+    assert n == 3 and iter(blocks) is blocks      # nothing is collected before it is asked for
+    known = [hashes.tolist() for b in blocks for hashes, _, _ in b.by_length.values()]
+    assert sum(map(len, known)) == 60 == len({h for k in known for h in k})
+
+
 def test_factorization_learns_pairs(labelled):
     docs, labels, _ = labelled
     m = fit_toxicity(docs, labels)

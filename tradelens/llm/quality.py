@@ -10,19 +10,20 @@ label 1.
 Fitting uses a bounded sample of labelled rows outside the held-out fold:
 ``per_class`` documents of each label, the first half (by hash order) for the
 dictionaries, the others for the curve, weighted back to the label shares of all
-training rows. Scoring is one map over all documents; only the dictionaries
+training rows. The dictionaries are trained on whole texts: a label's rows are taken in
+hash order as long as ``text_bytes`` holds them, which bounds what the driver reads. Scoring is one map over all documents; only the dictionaries
 (``dict_bytes`` each) travel.
 
 Defined cases: null and empty texts get the curve's value at size zero; a null
 id is never held out; with no usable labels of one class every score is the
-share of label 1 (0.5 without labels); extra columns are ignored by the scores
+share of label 1 (0.5 without labels); a very long text is scored whole, block by block,
+and is no dictionary row if it alone exceeds ``text_bytes``; repeated rows get equal
+scores; extra columns are ignored by the scores
 and kept by the filter.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -59,24 +60,28 @@ class Sizes:
         return (bad - good) / n, (bad - good) / (bad + good + 16), min(good, bad) / n
 
 
-def _blocks(texts: DataFrame, per_doc: int) -> DataFrame:
-    """Up to ``per_doc`` blocks spread evenly over each sampled text."""
-    def run(batches):
-        for b in batches:
-            y, out = [], []
-            for text, label in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
-                raw = (text or "").encode()
-                starts = range(0, len(raw), BLOCK)
-                for i in starts[::math.ceil(len(starts) / per_doc)] if len(starts) else ():
-                    y.append(label)
-                    out.append(raw[i:i + BLOCK])
-            yield pa.record_batch([pa.array(y, pa.int32()), pa.array(out, pa.binary())],
-                                  names=["y", "block"])
-    return texts.select("text", "y").mapInArrow(run, "y int, block binary")
+def _blocks(raw: bytes) -> list[bytes]:
+    """The whole text in blocks of ``BLOCK`` bytes; a last one under 8 bytes, too short
+    for the trainer, stays with the block before it."""
+    out = [raw[i:i + BLOCK] for i in range(0, len(raw), BLOCK)]
+    if len(out) > 1 and len(out[-1]) < 8:
+        out[-2:] = [out[-2] + out[-1]]
+    return out
+
+
+def _within(lengths: list[tuple[int, int, int]], budget: int) -> list[tuple[int, int]]:
+    """(label, rank) of the rows that the budget of bytes of each label holds, taken
+    whole in rank order; a row that no longer fits is passed over."""
+    left, out = {0: budget, 1: budget}, []
+    for y, k, n in sorted(lengths):
+        if n <= left[y]:
+            left[y] -= n
+            out.append((y, k))
+    return out
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 3000,
-                dict_bytes: int = 65536, blocks_per_doc: int = 4, seed: int = 11):
+                dict_bytes: int = 65536, text_bytes: int = 8 << 20, seed: int = 11):
     """(dictionaries or None, curve or constant), from a bounded labelled sample."""
     train = training_labels(labels, "quality", MOD, REST)
     share = {r.y: r["count"] for r in train.groupBy("y").count().collect()}
@@ -88,15 +93,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 3000,
         return None, base
     sample = sample_docs(docs, ids, "text")
     half = F.when(F.col("y") == 0, of[0] // 2).otherwise(of[1] // 2)
-    raw = sorted((r.y, bytes(r.block)) for r in _blocks(
-        sample.where(F.col("k") < half), blocks_per_doc).collect() if len(r.block) >= 8)
+    first = sample.where((F.col("k") < half) & (F.octet_length("text") > 0)).groupBy(
+        "y", "k").agg(F.max("text").alias("text"))
+    taken = _within([tuple(r) for r in first.select(
+        "y", "k", F.octet_length("text")).collect()], text_bytes)
+    spark = docs.sparkSession
+    raw = sorted((r.y, r.k, r.text) for r in first.join(F.broadcast(
+        spark.createDataFrame(taken, "y int, k int")), ["y", "k"]).collect())
     dicts = []
     for y in (0, 1):
-        blocks = [b for k, b in raw if k == y]
+        texts = [t.encode() for label, _, t in raw if label == y]
         try:
-            d = zstandard.train_dictionary(dict_bytes, blocks).as_bytes()
+            d = zstandard.train_dictionary(
+                dict_bytes, [b for t in texts for b in _blocks(t)]).as_bytes()
         except zstandard.ZstdError:      # too little text to train on: use it as it is
-            d = b"".join(blocks)[-dict_bytes:] or b"\n" * 8
+            d = b"".join(texts) or b"\n" * 8
         dicts.append(d)
     dicts = tuple(dicts)
 
