@@ -110,3 +110,59 @@ def asof_both(left: DataFrame, right: DataFrame, *, by: str | Sequence[str],
                .withColumn(fwd_name, F.last(F.col(_HIT), ignorenulls=True).over(wf)[value])
                .where(F.col(_SIDE) == 1))
     return carried.select(*left.columns, back_name, fwd_name)
+
+
+def asof_join_ranged(left: DataFrame, right: DataFrame, *, by: str | Sequence[str],
+                     left_on: str, right_on: str, values: Sequence[str],
+                     direction: str = "backward", prefix: str = "") -> DataFrame:
+    """``asof_join`` for keys whose distinct as-of values are not bounded by a calendar
+    (intraday times): no ``by`` key has to fit one window partition.
+
+    Both sides are reduced to one row per (by, time), stacked and range-partitioned on
+    that pair, so a hot key spans many tasks and equal times meet in one. Inside a
+    (partition, key) slice the last right row is carried as usual; a probe before the
+    first right row of its slice takes the one that an earlier slice of the key ends
+    with (a later slice begins with, forward), from a table of one row per slice.
+
+    Of right rows with equal (by, time) the one with the greatest ``values`` is taken.
+    A null key or time matches nothing. ``values`` need an order (no maps).
+    """
+    if direction not in ("backward", "forward"):
+        raise ValueError("direction must be 'backward' or 'forward'")
+    back = direction == "backward"
+    names = [f"__asof_by{i}" for i in range(len(_as_list(by)))]
+    keys = [*names, _KEY]
+
+    def keyed(df: DataFrame, on: str, *more: Column) -> DataFrame:
+        return df.select(*[F.col(b).alias(n) for b, n in zip(_as_list(by), names)],
+                         F.col(on).alias(_KEY), *more).dropna(subset=keys)
+
+    refs = keyed(right, right_on, F.struct(*[F.col(v).alias(v) for v in values]).alias(_HIT))
+    refs = refs.groupBy(*keys).agg(F.max(_HIT).alias(_HIT)).withColumn(_SIDE, F.lit(0))
+    probes = keyed(left, left_on).distinct().withColumn(_SIDE, F.lit(1))
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stacked = (refs.unionByName(probes, allowMissingColumns=True)
+               .repartitionByRange(n, *keys).withColumn("__asof_part", F.spark_partition_id()))
+    # two branches read the partition ids: one assignment for both, as in
+    # ``lagged_mean_by_prefix_sums``
+    from ..session import cut_lineage
+    stacked = cut_lineage(stacked)
+    slices = ["__asof_part", *names]
+    order = [F.col(_KEY).asc() if back else F.col(_KEY).desc(), F.col(_SIDE).asc()]
+    inside = (Window.partitionBy(*slices).orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = stacked.withColumn(_HIT, F.last(_HIT, ignorenulls=True).over(inside)).where(
+        F.col(_SIDE) == 1)
+    edge = F.max_by if back else F.min_by
+    only = F.when(F.col(_SIDE) == 0, F.col(_KEY))     # probes have no part in an edge
+    ends = stacked.groupBy(*slices).agg(edge(_HIT, only).alias("__asof_end"))
+    part = F.col("__asof_part")
+    before = (Window.partitionBy(*names).orderBy(part.asc() if back else part.desc())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(*slices, F.last("__asof_end", ignorenulls=True).over(before).alias(
+        "__asof_end"))
+    found = local.join(ends, slices).select(*keys, F.coalesce(_HIT, "__asof_end").alias(_HIT))
+    out = left.withColumns({**{n: F.col(b) for b, n in zip(_as_list(by), names)},
+                            _KEY: F.col(left_on)}).join(found, keys, "left")
+    return out.select(*[out[c] for c in left.columns],
+                      *[F.col(f"{_HIT}.{v}").alias(prefix + v) for v in values])

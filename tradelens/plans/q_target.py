@@ -9,6 +9,7 @@ from ..operators import asof as A
 from ..operators import clean as C
 from ..operators.aggregate import DAILY_POLICY, policy_aggregate
 from ..operators.window import expanding_lagged_avg, latest_row_per_key
+from ..sources.tables import read_table
 from . import target as TG
 from .proxies import PRICES_SQL, TRANSACTIONS_SQL, price_bars, transactions, with_ctes
 from .registry import register
@@ -220,6 +221,23 @@ def q_asof_forward(spark, sf):
                        ).withColumnRenamed("close", "end_price")
 
 
+@register("asof_intraday",
+          "with r as (select user_id, ts, max(event_id) as click from events where event_type = "
+          "'click' group by user_id, ts) select e.event_id, b.click as click_before, "
+          "f.click as click_after from events e asof left join r b on e.user_id = b.user_id and "
+          "e.ts >= b.ts asof left join r f on e.user_id = f.user_id and e.ts <= f.ts")
+def q_asof_intraday(spark, sf):
+    """Every event with its user's last click at or before it and first at or after it:
+    as-of joins on times of day, where a user's rows have no calendar bound."""
+    e = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    clicks = e.where("event_type = 'click'").select("user_id", "ts", F.col("event_id").alias("click"))
+    on = dict(by="user_id", left_on="ts", right_on="ts", values=["click"])
+    e = A.asof_join_ranged(e.select("event_id", "user_id", "ts"), clicks, **on
+                           ).withColumnRenamed("click", "click_before")
+    return A.asof_join_ranged(e, clicks, direction="forward", **on).select(
+        "event_id", "click_before", F.col("click").alias("click_after"))
+
+
 @register("filter_horizon", with_ctes(
     "select key, ticker, date from tx where date + 30 <= (select max(date) from p)",
     tx=TRANSACTIONS_SQL, p=PRICES_SQL))
