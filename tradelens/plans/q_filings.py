@@ -100,13 +100,12 @@ def q_sum_holdings(spark, sf):
 
 
 @register("coalesce_tx_branches", with_ctes(
-    "select derivative, count(*) as n, count(shares) as n_shares, "
-    "count(*) filter (where equity_swap) as n_swaps from parsed group by derivative", **_P))
+    "select link, derivative, shares, remaining_shares, date, equity_swap from parsed", **_P))
 def q_coalesce_tx_branches(spark, sf):
-    tx = X.explode_transactions(_docs(spark, sf))
-    return tx.groupBy("derivative").agg(F.count(F.lit(1)).alias("n"),
-                                        F.count("shares").alias("n_shares"),
-                                        F.count_if("equity_swap").alias("n_swaps"))
+    """The values that both branches fill, row by row: plain and derivative transactions
+    name them alike after the explode."""
+    return X.explode_transactions(_docs(spark, sf)).select(
+        "link", "derivative", "shares", "remaining_shares", "date", "equity_swap")
 
 
 @register("is_derivative", with_ctes(
@@ -117,10 +116,10 @@ def q_is_derivative(spark, sf):
 
 
 @register("owner_code_bits", with_ctes(
-    "select owner_code, count(*) as n from parsed group by owner_code", **_P))
+    "select link, shares, derivative, owner_code from parsed", **_P))
 def q_owner_code_bits(spark, sf):
-    return (X.explode_transactions(_docs(spark, sf)).groupBy("owner_code")
-            .agg(F.count(F.lit(1)).alias("n")))
+    return X.explode_transactions(_docs(spark, sf)).select("link", "shares", "derivative",
+                                                           "owner_code")
 
 
 @register("truthy_flag", with_ctes(
