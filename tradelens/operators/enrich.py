@@ -104,5 +104,13 @@ def dead_letters(enriched: DataFrame) -> DataFrame:
     return enriched.select(F.explode(reasons).alias("r")).select("r.*")
 
 
-def write_dead_letters(dl: DataFrame, path: str) -> None:
-    dl.write.mode("append").partitionBy("kind").parquet(path)
+def write_dead_letters(dl: DataFrame, path: str, batch: int) -> None:
+    """Add a batch of failures to the dead-letter table. A batch has its own folder, so
+    writing it again after a failure replaces its rows and no others."""
+    dl.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/batch_id={int(batch)}")
+
+
+def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """(kind, ticker, fbd, cik, batch_id) of all batches, none for batches without failures."""
+    return spark.read.schema("ticker string, fbd date, cik string, batch_id long, kind string").parquet(
+        path).select("kind", "ticker", "fbd", "cik", "batch_id")

@@ -86,22 +86,23 @@ def q_enrich_exchange_sic(spark, sf):
 
 
 @register("sink_dead_letter", with_ctes(
-    "select kind, count(*) as n, count(distinct coalesce(ticker, cik)) as n_subjects from ("
-    "select 'missing_mcap' as kind, upper(trim(ticker)) as ticker, null as cik from e "
+    "select 'missing_mcap' as kind, upper(trim(ticker)) as ticker, fbd, null as cik from e "
     "where _mcap_from_cache and market_cap is null "
-    "union all select 'missing_sic', null, company_cik from e where sic is null "
-    "union all select 'missing_exchange', null, company_cik from e where exchange is null) "
-    "group by kind", **_ENRICH_CTES))
+    "union all select 'missing_sic', null, null, company_cik from e where sic is null "
+    "union all select 'missing_exchange', null, null, company_cik from e where exchange is null",
+    **_ENRICH_CTES))
 def q_sink_dead_letter(spark, sf):
-    """Failures appended to the dead-letter table (one folder per kind), read back."""
+    """Failures added to the dead-letter table in two batches, the first of them
+    twice as after a restart; the rows read back."""
     import uuid
 
-    from ..session import scratch_path
+    from ..session import cut_lineage, scratch_path
     path = scratch_path(spark, f"dead-{uuid.uuid4().hex[:12]}")
-    EN.write_dead_letters(EN.dead_letters(enriched(spark, sf)), path)
-    dl = spark.read.parquet(path)
-    return dl.groupBy("kind").agg(F.count(F.lit(1)).alias("n"),
-                                  F.count_distinct(F.coalesce("ticker", "cik")).alias("n_subjects"))
+    dl = cut_lineage(EN.dead_letters(enriched(spark, sf)))
+    for batch in (0, 1, 0):
+        EN.write_dead_letters(dl.where(F.pmod(F.xxhash64("ticker", "cik"), F.lit(2)) == batch),
+                              path, batch)
+    return EN.read_dead_letters(spark, path).drop("batch_id")
 
 
 _SECTORS_SQL = "select * from (values " + ", ".join(
