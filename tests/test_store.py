@@ -220,3 +220,42 @@ def test_linear_hashing(spark):
 def test_manifest_round_trip():
     m = Manifest.load(Manifest(3, 2, "{}", {"all": 4}, {}, 9).dump())
     assert (m.seq, m.last, m.buckets, m.credit) == (3, 2, {"all": 4}, 9)
+
+
+def _bytes(frame):
+    return sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:"))
+               for f in frame.inputFiles())
+
+
+def test_lookup_opens_only_the_buckets_of_its_keys(spark, tmp):
+    fs = FeatureStore(spark, tmp, load_catalog({"t": {
+        "primary_key": ["path"], "event_time": "d", "stable_event_time": True,
+        "rows_per_bucket": 30}}, 1))
+    rows = spark.range(2000).select(
+        F.concat(F.lit("edgar/"), F.col("id").cast("string")).alias("path"),
+        F.date_add(F.lit(DAY), (F.col("id") / 2).cast("int")).alias("d"),
+        F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("raw"))
+    fs.upsert("t", rows)
+    fs.upsert("t", rows.where("path like '%7'").withColumn("raw", F.lit("corrected")))
+    whole = fs.read("t")
+    stored = {r.path: (r.path, r.d, r.raw) for r in whole.collect()}
+
+    def both(keys):
+        keys = keys.select("path", "d")
+        got = fs.lookup("t", keys)
+        want = {r.path: stored[r.path] for r in keys.collect() if r.path in stored}
+        assert sorted(map(tuple, got.select("path", "d", "raw").collect())) == sorted(want.values())
+        return got
+
+    # 1 % of the paths in the order of filing
+    some = both(rows.where("d >= '2024-06-10' and d < '2024-06-20'"))
+    assert some.count() == 20 and any(r.raw == "corrected" for r in some.collect())
+    assert _bytes(some) < 0.05 * _bytes(whole)
+    # one path anywhere opens one bucket; any paths are found, however scattered
+    assert _bytes(both(rows.where("path = 'edgar/17'"))) < 0.01 * _bytes(whole)
+    assert both(rows.where("hash(path) % 100 = 0")).count() > 5
+    # repeated, unknown and null keys, no keys
+    odd = rows.limit(3).select("path", "d")
+    both(odd.unionByName(odd).unionByName(spark.createDataFrame(
+        [("nowhere", DAY), ("nowhere", dt.date(1990, 1, 1)), (None, None)], "path string, d date")))
+    assert both(rows.limit(0)).count() == 0

@@ -19,7 +19,7 @@ from ..sources.catalog import FeatureStore, load_catalog
 from ..sources.segments import Consumer, SegmentTopic
 from ..sources.tables import read_table
 from ..streaming import streams as ST
-from .filing_docs import PARSED_SQL, landed_filing_texts
+from .filing_docs import PARSED_SQL, stored_filing_texts
 from .index_docs import INDEX_SQL
 from .messages import MESSAGES_SQL, raw_messages
 from .proxies import with_ctes
@@ -224,24 +224,26 @@ FILING_NOW, FILING_DAYS = "2001-05-15", 1500
     "on o_orderkey = l_orderkey where parsed.o_orderpriority in ('1-URGENT', '2-HIGH') and "
     f"o_orderdate >= timestamp '{FILING_NOW}' - interval {FILING_DAYS} day", parsed=PARSED_SQL))
 def q_stream_parse_filings(spark, sf):
-    """Path messages (one per indexed form 4) -> stale filter -> join with the
-    landed texts -> parse -> publish one message per transaction; the query reads
-    the published messages back."""
+    """Path messages (one per indexed form 4), in order of filing -> stale filter -> look up
+    the stored texts, of which a micro-batch opens only the months and buckets it names ->
+    parse -> publish one message per transaction; the query reads the published messages back."""
     from ..sources import master_index as MI
     from .index_docs import index_lines
     run = ST.run_dir(spark, "parse")
-    texts = landed_filing_texts(spark, sf)
+    store = stored_filing_texts(spark, sf)
     index = MI.filter_form_type(MI.parse_index_lines(index_lines(spark, sf)), "4")
-    paths = MI.index_messages(index).select("file_path", "timestamp", "key")
-    path = ST.land(paths, os.path.join(run, "in"))
+    paths = MI.index_messages(index).select("file_path", "timestamp", "key",
+                                            F.to_date("date").alias("filed"))
+    path = os.path.join(run, "in")
+    ST.land_in_order(paths, path, ts="filed", days=730)
     out = os.path.join(run, "topic")
     record = ("link", "shares", "derivative", "rule105b1", "date", "key")
 
     def sink(batch, batch_id):
         fresh = MI.filter_recent(batch, ts_ms=F.col("timestamp"), now=FILING_NOW,
-                                 days_back=FILING_DAYS).select("file_path")
+                                 days_back=FILING_DAYS).select("file_path", "filed")
         tx = X.with_message_fields(X.explode_transactions(X.parse_filings(
-            texts.join(fresh, "file_path", "left_semi"))))
+            store.lookup("texts", fresh).select("file_path", "raw"))))
         TP.to_message(tx.select(*record)).write.mode("overwrite").json(
             os.path.join(out, f"batch_id={batch_id}"))
 

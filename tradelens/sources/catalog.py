@@ -195,6 +195,26 @@ class FeatureStore:
         except FileNotFoundError:
             return self.spark.createDataFrame([], schema)
 
+    def lookup(self, ref: str, keys: DataFrame) -> DataFrame:
+        """Current rows of the given keys, reading only the buckets that the keys fall in.
+
+        ``keys`` holds the primary key and, for a table kept by period, the event time;
+        repeated keys count once, unknown and null ones find nothing. The list of buckets
+        met, at most one entry a bucket, is all the driver sees. ``keys`` is read twice, so
+        it should be a landed frame or a micro-batch."""
+        spec, m = self.catalog[ref], self.manifest(ref)
+        if m is None or m.last is None:
+            raise FileNotFoundError(f"table {spec.name} v{spec.version} does not exist")
+        named = list(dict.fromkeys([*spec.primary_key, *([spec.event_time] if spec.by_period else [])]))
+        stored = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(m.schema))}
+        # the stored types: a key's hash, and so its bucket, depends on its type
+        keys = keys.select(*[F.col(k).cast(stored[k]).alias(k) for k in named])
+        met = {(r[0], r[1]) for r in self._placed(keys, spec, m.buckets).select(
+            PERIOD, BUCKET).distinct().collect()}
+        rows = self._current(spec, m, [s for k, s in m.slots.items() if k in met])
+        return rows.drop(BATCH).join(keys.select(*spec.primary_key), list(spec.primary_key),
+                                     "left_semi")
+
     def changes(self, ref: str, after: int) -> DataFrame:
         """Current rows of the keys that batches later than ``after`` wrote; folders that
         hold no such batch are not read. Keeps the batch in ``_batch``."""
