@@ -187,6 +187,34 @@ def test_extract_keeps_articles_in_wrappers_and_named_headings():
     assert extract("<p>a</p><div class='share'>s</div>") == "a"
 
 
+def test_extract_named_containers_go_hidden_text_stays():
+    for name in ("comment-list", "comments-area", "reader-comments", "user-comments", "related-posts",
+                 "share-buttons", "social-links", "ad-container", "cookie-bar", "newsletter-box",
+                 "comment-section"):
+        for attr in ("class='x1 ", "id='"):
+            assert extract(f"<article><p>a</p><div {attr}{name}'><p>n</p></div></article>") == "a"
+    for name in ("with-sidebar", "social-history", "post-header", "has-comments", "comment-on-law"):
+        assert extract(f"<article><p>a</p><div class='{name}'>b</div></article>") == "a\n\nb"
+    assert extract("<article>a<p hidden>b</p><p aria-hidden='true'>c</p><p style='display: none'>d"
+                   "</p></article>") == "a\n\nb\n\nc\n\nd"
+
+
+def test_extract_chooses_article_or_main_by_what_they_hold():
+    assert extract("<main><p>Intro</p><article>card</article><p>Rest</p></main>") == \
+        "Intro\n\ncard\n\nRest"
+    assert extract("<article>one</article><article>two</article><main><p>The text itself</p></main>"
+                   ) == "The text itself"
+    assert extract("<main><p>by me</p><article>The text itself</article><div class='comments'>"
+                   "<p>a comment longer than the text</p></div></main>") == "The text itself"
+
+
+def test_extract_very_long_page():
+    words = [f"w{i}" for i in range(200_000)]
+    page = "<body><nav>m</nav><article>" + "".join(
+        f"<p>{' '.join(words[i:i + 100])}</p>" for i in range(0, len(words), 100)) + "</article></body>"
+    assert extract(page).split() == words
+
+
 def test_tree_matching():
     a, b = parse("<ul><li>1<li>2<li>3</ul>"), parse("<ul><p>0</p><li>1<li>9</ul>")
     number(a), number(b)
