@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -9,7 +11,10 @@ from ..operators import asof as A
 from ..operators import clean as C
 from ..operators.aggregate import DAILY_POLICY, policy_aggregate
 from ..operators.window import expanding_lagged_avg, latest_row_per_key
+from ..session import scratch_path
+from ..sources.catalog import FeatureStore, load_catalog
 from ..sources.tables import read_table
+from . import refresh as RF
 from . import target as TG
 from .proxies import PRICES_SQL, TRANSACTIONS_SQL, price_bars, transactions, with_ctes
 from .registry import register
@@ -114,6 +119,23 @@ def q_build_training_target(spark, sf):
                                     period=PERIOD, direction="R")
 
 
+@register("refresh_training_target",
+          with_ctes(RT4_SELECT + " where e5 is not null and avg_target_expanding is not null",
+                    **_target_ctes()))
+def q_refresh_training_target(spark, sf):
+    """The stored target after two deliveries of transactions and bars, the second of which
+    recomputes only the days that it reaches."""
+    store = FeatureStore(spark, scratch_path(spark, f"refresh-{uuid.uuid4().hex[:12]}"),
+                         load_catalog(RF.REFRESH_CATALOG, 1))
+    tx, bars = transactions(spark, sf), price_bars(spark, sf)
+    day = bars.agg(F.date_sub(F.max("date"), 90)).first()[0]
+    for part in (F.col("date") < F.lit(day), F.col("date") >= F.lit(day)):
+        store.upsert("bt4", tx.where(part))
+        store.upsert("p", bars.where(part))
+        RF.refresh_training(store, period=PERIOD, direction="R")
+    return store.read("rt4")
+
+
 @register("forward_return", with_ctes(
     "select ticker, date, company_cik, key, timestamp, direct_holding * price2 as direct_holding, "
     "indirect_holding * price2 as indirect_holding, equity_swap, rule105b1, derivative, "

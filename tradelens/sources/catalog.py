@@ -32,6 +32,7 @@ key in a batch) is collapsed before the shuffle instead of sorted in one task.
 
 from __future__ import annotations
 
+import datetime
 import json
 import os
 import uuid
@@ -176,13 +177,16 @@ class FeatureStore:
         return plain.unionByName(mixed)
 
     # -- API ------------------------------------------------------------------
-    def read(self, ref: str, where: Callable[[DataFrame], Column] | str | None = None) -> DataFrame:
+    def read(self, ref: str, where: Callable[[DataFrame], Column] | str | None = None,
+             since: datetime.date | None = None) -> DataFrame:
         """Current rows; ``where`` (Column builder or SQL) is pushed down into bases without
-        deltas, elsewhere it follows the merge."""
+        deltas, elsewhere it follows the merge. ``since``: of a table kept by period, only the
+        months from this day's on, and rows without an event time, are read."""
         spec, m = self.catalog[ref], self.manifest(ref)
         if m is None or m.last is None:
             raise FileNotFoundError(f"table {spec.name} v{spec.version} does not exist")
-        df = self._current(spec, m, list(m.slots.values())).drop(BATCH)
+        first = "" if since is None or not spec.by_period else f"{since:%Y-%m}"
+        df = self._current(spec, m, [s for (p, _), s in m.slots.items() if p >= first]).drop(BATCH)
         if where is None:
             return df
         return df.where(where if isinstance(where, str) else where(df))
