@@ -1,8 +1,13 @@
 """Substring, line and near-duplicate dedup against brute force."""
 
 import hashlib
+import os
+import subprocess
+import sys
 from collections import defaultdict
 
+import pytest
+
 from tradelens.llm.jaccard_join import _components, jaccard_join, one_of_each_group
 from tradelens.llm.line_dedup import line_dedup, remove_repeated_lines
 from tradelens.llm.substring_dedup import substring_dedup
@@ -151,3 +156,11 @@ def test_one_id_with_two_texts_keeps_its_rows(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(
         [(1, a), (1, b), (9, "some text of its own only here")])
+
+
+@pytest.mark.parametrize("module", ["substring_dedup", "jaccard_join", "divergence"])
+def test_arrow_functions_are_imported_by_their_users(module):
+    """A worker that imports nothing else of the library finds ``pa.compute``."""
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"import tradelens.llm.{module} as m; m.pa.compute.equal"
+    subprocess.run([sys.executable, "-c", code], cwd=here, check=True)
