@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORD_SEP = "\u001e"
+RECORDS_PER_FILE = 20_000
 
 
 def read_filing_files(spark: SparkSession, path: str, *, root: str | None = None) -> DataFrame:
@@ -26,12 +27,15 @@ def read_filing_files(spark: SparkSession, path: str, *, root: str | None = None
 
 
 def pack_filings(texts: DataFrame, path: str, *, n_files: int | None = None) -> None:
-    """Write ``(file_path, raw)`` as packed records: path line + text."""
+    """Write ``(file_path, raw)`` as packed records: path line + text. The files are
+    compressed (the texts repeat their tags; whole they outgrow the disks before the tables
+    do) and of bounded size, because a compressed file is read by one task."""
     rec = F.concat(F.col("file_path"), F.lit("\n"), F.col("raw"))
     out = texts.select(rec.alias("value"))
     if n_files:
         out = out.repartition(n_files)
-    out.write.mode("overwrite").option("lineSep", RECORD_SEP).text(path)
+    out.write.mode("overwrite").option("lineSep", RECORD_SEP).option(
+        "compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def read_filing_records(spark: SparkSession, path: str) -> DataFrame:
