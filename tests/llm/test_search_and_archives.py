@@ -295,3 +295,22 @@ def test_main_text_of_a_host_with_two_layouts(spark):
     for i in range(40):
         assert not any(x in by[i] for x in ("Top", "Sort by", "List end", "Filed", "Read on")), by[i]
         assert len([x for x in by[i].split() if x[0] == "w"]) == 5
+
+
+def test_main_text_counts_all_shapes_of_a_host(spark):
+    """A layout whose shapes are rarer than a thousand others is still told apart."""
+    def name(i):
+        return "".join(chr(97 + i // 26 ** k % 26) for k in range(3))
+
+    rows = []
+    for i in range(2200):
+        rows.append((i, f"http://many.example/{i}",
+                     f'<body><div>Top</div><section class="v{name(i // 2)}"><h2>Filed under news</h2>'
+                     f"<p>w{i}</p></section><div>Read on</div></body>"))
+    for i in range(2200, 2208):
+        rows.append((i, f"http://many.example/{i}",
+                     f'<body><ul class="l{name(i)}"><li>Sort by date</li><li>w{i}</li></ul>'
+                     "<table><tr><td>List end</td></tr></table></body>"))
+    df = spark.createDataFrame([(*r, "d", 1, 2, "h") for r in rows], PAGES).repartition(4)
+    by = {r.page_id: r.text for r in main_text(df).collect()}
+    assert by == {i: f"w{i}" for i in range(2208)}

@@ -51,7 +51,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -517,30 +517,52 @@ def _shape_batches(batches):
                                pa.array(list(n.values()), pa.int64())], schema=SHAPES)
 
 
-LAYOUTS = pa.schema([("host", pa.string()), ("telling", pa.binary()),
-                     ("layouts", pa.list_(pa.binary()))])
+HELD = pa.schema([("host", pa.string()), ("feature", pa.int64()), ("pages", pa.int64())])
 
 
-def _layouts(share: float, least: int):
-    """Per host: the features that tell its layouts apart and one set of them a layout."""
+def _feature_batches(batches):
+    """Pages by host and feature; the feature -1 counts all pages of the host."""
+    for b in batches:
+        n: Counter = Counter()
+        for host, f, pages in zip(*(b.column(c).to_pylist() for c in ("host", "shape", "pages"))):
+            for x in (-1, *_features(f)):
+                n[host, x] += pages
+        cols = [*zip(*n)] or [(), ()]
+        yield pa.record_batch([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()),
+                               pa.array(list(n.values()), pa.int64())], schema=HELD)
+
+
+def _telling_batches(batches):
+    """Shapes cut to the features that tell their host's layouts apart."""
+    for b in batches:
+        known: dict = {}
+        n: Counter = Counter()
+        for host, f, pages, telling in zip(*(b.column(c).to_pylist() for c in (
+                "host", "shape", "pages", "telling"))):
+            if host not in known:
+                known[host] = frozenset(telling or ())
+            n[host, _bytes(_features(f) & known[host])] += pages
+        cols = [*zip(*n)] or [(), ()]
+        yield pa.record_batch([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()),
+                               pa.array(list(n.values()), pa.int64())], schema=SHAPES)
+
+
+LAYOUTS = pa.schema([("host", pa.string()), ("layouts", pa.list_(pa.binary()))])
+
+
+def _layouts(least: int):
+    """Per host: one set of telling features a layout."""
     def run(key, t):
-        rows = [(_features(f), n) for f, n in zip(t.column("shape").to_pylist(),
+        sets = [(_features(f), n) for f, n in zip(t.column("shape").to_pylist(),
                                                   t.column("pages").to_pylist())]
-        total, held = sum(n for _, n in rows), Counter()
-        for f, n in rows:
-            held.update(dict.fromkeys(f, n))
-        telling = {f for f, n in held.items() if least <= n < share * total}
-        sets: Counter = Counter()
-        for f, n in rows:
-            sets[f & telling] += n
         found: dict = {}
-        for f, n in sorted(sets.items(), key=lambda x: (-x[1], sorted(x[0]))):
+        for f, n in sorted(sets, key=lambda x: (-x[1], sorted(x[0]))):
             best = max(found, key=lambda g: _alike(f, g), default=None)
             if best is None or _alike(f, best) < ALIKE:
                 best = f
             found[best] = found.get(best, 0) + n
         return pa.Table.from_arrays([
-            pa.array([key[0].as_py()], pa.string()), pa.array([_bytes(telling)], pa.binary()),
+            pa.array([key[0].as_py()], pa.string()),
             pa.array([[_bytes(f) for f, n in found.items() if n >= least]],
                      pa.list_(pa.binary()))], schema=LAYOUTS)
     return run
@@ -559,7 +581,7 @@ def _place_batches(batches):
             at, best = 0, 1.0
             if html and layouts:
                 if host not in known:
-                    known[host] = _features(telling), [_features(x) for x in layouts]
+                    known[host] = frozenset(telling or ()), [_features(x) for x in layouts]
                 f = _features(shape(html)) & known[host][0]
                 near = [_alike(f, x) for x in known[host][1]]
                 best = max(near)
@@ -571,17 +593,24 @@ def _place_batches(batches):
                               schema=PLACED)
 
 
-def _by_layout(p: DataFrame, share: float, least: int, most: int, limit: int) -> DataFrame:
-    """The pages with their host and layout as ``host``. A host's layouts are found on
-    its ``most`` commonest shapes, all its pages are dealt to them."""
-    w = Window.partitionBy("host").orderBy(F.desc("pages"), "shape")
-    shapes = p.where("host is not null and html <> ''").select("host", "html").mapInArrow(
+def _by_layout(p: DataFrame, share: float, least: int, limit: int) -> DataFrame:
+    """The pages with their host and layout as ``host``. Features are counted over all shapes
+    of a host; what its one group holds is its distinct sets of telling features."""
+    shapes = cut_lineage(p.where("host is not null and html <> ''").select("host", "html").mapInArrow(
         _shape_batches, "host string, shape binary, pages long").groupBy("host", "shape").agg(
-        F.sum("pages").alias("pages")).withColumn("n", F.row_number().over(w)).where(
-        F.col("n") <= most).drop("n")
-    layouts = cut_lineage(shapes.groupBy("host").applyInArrow(
-        _layouts(share, least), "host string, telling binary, layouts array<binary>"))
-    size = F.length("telling") * (F.size("layouts") + 1) + 256
+        F.sum("pages").alias("pages")))
+    held = shapes.mapInArrow(_feature_batches, "host string, feature long, pages long").groupBy(
+        "host", "feature").agg(F.sum("pages").alias("pages"))
+    total = held.where("feature = -1").select("host", F.col("pages").alias("total"))
+    telling = held.where((F.col("feature") >= 0) & (F.col("pages") >= least)).join(
+        total, "host").where(F.col("pages") < F.lit(share) * F.col("total")).groupBy("host").agg(
+        F.array_sort(F.collect_list("feature")).alias("telling"))
+    sets = shapes.join(telling, "host", "left").mapInArrow(
+        _telling_batches, "host string, shape binary, pages long").groupBy("host", "shape").agg(
+        F.sum("pages").alias("pages"))
+    layouts = cut_lineage(sets.groupBy("host").applyInArrow(
+        _layouts(least), "host string, layouts array<binary>").join(telling, "host", "left"))
+    size = 8 * F.coalesce(F.size("telling"), F.lit(0)) * (F.size("layouts") + 1) + 256
     return _with_wrapper(p, layouts, "left", limit, size).select(
         "page_id", "url", "html", "host", "telling", "layouts").mapInArrow(
         _place_batches, "page_id long, url string, html string, host string, member boolean")
@@ -639,14 +668,14 @@ def _extract_batches(batches):
 
 
 def main_text(pages: DataFrame, share: float = 0.9, least: int = 5,
-              broadcast_bytes: int = 16 << 20, shapes: int = 1024) -> DataFrame:
+              broadcast_bytes: int = 16 << 20) -> DataFrame:
     """page_id, url, text, n_chars per page. A node is template if at least ``share``
     of a host's pages of one layout (``least`` or more) repeat the reference's text there."""
     host = F.lower(F.regexp_extract(F.col("url"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     p = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"),
                      F.col("html").cast("string")).withColumn(
         "host", F.when(host != "", host))
-    p = _by_layout(p, share, least, shapes, broadcast_bytes)
+    p = _by_layout(p, share, least, broadcast_bytes)
     counted = p.where("host is not null and html <> '' and member").drop("member")
     refs = cut_lineage(counted.groupBy("host").agg(
         F.min_by("html", F.struct("page_id", F.md5("html"))).alias("reference")))
