@@ -581,11 +581,13 @@ def _place_batches(batches):
             at, best = 0, 1.0
             if html and layouts:
                 if host not in known:
-                    known[host] = frozenset(telling or ()), [_features(x) for x in layouts]
-                f = _features(shape(html)) & known[host][0]
-                near = [_alike(f, x) for x in known[host][1]]
-                best = max(near)
-                at = near.index(best)
+                    known[host] = frozenset(telling or ()), [_features(x) for x in layouts], {}
+                told, sets, dealt = known[host]
+                f = _features(shape(html)) & told
+                if f not in dealt:
+                    near = [_alike(f, x) for x in sets]
+                    dealt[f] = near.index(max(near)), max(near)
+                at, best = dealt[f]
             hosts.append(None if host is None else f"{at} {host}")
             member.append(best >= ALIKE)
         yield pa.record_batch([b.column("page_id"), b.column("url"), b.column("html"),
