@@ -104,3 +104,21 @@ def test_landed_rows_are_not_copied(spark, tmp, monkeypatch):
     fs = table(spark, tmp)
     assert fs.upsert("t", rows, landed=True) == 0
     assert sorted(map(tuple, fs.read("t").collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_parse_stream_takes_its_texts_in_groups_of_months(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    from tradelens.plans import q_stream
+    monkeypatch.setattr(catalog, "LOOK", 1)
+    monkeypatch.setattr(catalog, "GROUP", 0)
+    whole = q_stream.q_stream_parse_filings(spark, sf)
+    asked = []
+    lookup = FeatureStore.lookup
+    monkeypatch.setattr(FeatureStore, "lookup", lambda self, ref, keys: asked.append(ref) or lookup(
+        self, ref, keys))
+    monkeypatch.setattr(q_stream, "TEXTS_PER_LOOKUP", 150)
+    grouped = q_stream.q_stream_parse_filings(spark, sf)
+    assert len(asked) > 4
+    assert sorted(map(tuple, grouped.collect())) == sorted(map(tuple, whole.collect()))
