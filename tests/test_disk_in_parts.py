@@ -118,7 +118,7 @@ def test_parse_stream_takes_its_texts_in_groups_of_months(spark, monkeypatch):
     lookup = FeatureStore.lookup
     monkeypatch.setattr(FeatureStore, "lookup", lambda self, ref, keys: asked.append(ref) or lookup(
         self, ref, keys))
-    monkeypatch.setattr(q_stream, "TEXTS_PER_LOOKUP", 150)
+    monkeypatch.setattr(q_stream, "TEXTS_PER_LOOKUP", 20)
     grouped = q_stream.q_stream_parse_filings(spark, sf)
     assert len(asked) > 4
     assert sorted(map(tuple, grouped.collect())) == sorted(map(tuple, whole.collect()))
