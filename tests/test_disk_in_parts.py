@@ -122,3 +122,33 @@ def test_parse_stream_takes_its_texts_in_groups_of_months(spark, monkeypatch):
     grouped = q_stream.q_stream_parse_filings(spark, sf)
     assert len(asked) > 4
     assert sorted(map(tuple, grouped.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_refresh_in_parts_is_the_target(spark, tmp, monkeypatch):
+    from tradelens.plans import refresh as RF
+    tx, bars = market(spark)
+    store = FeatureStore(spark, tmp, load_catalog(RF.REFRESH_CATALOG, 1))
+    monkeypatch.setattr(session, "ROWS_PER_PART", 250)
+    written = []
+    monkeypatch.setattr(RF, "write_parts", lambda parts, path: session.write_parts(
+        (written.append(path) or p for p in parts), path))
+    for part in ("date < '2024-03-10'", "date >= '2024-03-10'"):
+        store.upsert("bt4", tx.where(part), landed=True)
+        store.upsert("p", bars.where(part))
+        RF.refresh_training(store, direction="R")
+    want = TG.build_training_target(tx, bars)
+    assert len(written) > 4 and not any(os.path.isdir(p.removeprefix("file:")) for p in written)
+    assert sorted(map(tuple, store.read("rt4").select(*want.columns).collect())) == sorted(
+        map(tuple, want.collect()))
+
+
+def test_vectors_of_the_searches_are_stored_compressed(spark, monkeypatch):
+    from tradelens.operators import ml, search
+    kept = []
+    for m in (ml, search):
+        monkeypatch.setattr(m, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+    rows = spark.range(400).select(F.col("id").cast("string").alias("key"), (F.col("id") % 7 + 0.5).alias("x"),
+                                   F.col("id").cast("double").alias("y"))
+    ml.search_regressors(rows, features=["x"], target="y", families=("linear",))
+    search.search_within(rows, features=["x"], target="y", key="key", budget_s=0, families=("linear",))
+    assert len(kept) == 2 and all(f.endswith(".zstd.parquet") for k in kept for f in k.inputFiles())
