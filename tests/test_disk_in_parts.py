@@ -152,3 +152,14 @@ def test_vectors_of_the_searches_are_stored_compressed(spark, monkeypatch):
     ml.search_regressors(rows, features=["x"], target="y", families=("linear",))
     search.search_within(rows, features=["x"], target="y", key="key", budget_s=0, families=("linear",))
     assert len(kept) == 2 and all(f.endswith(".zstd.parquet") for k in kept for f in k.inputFiles())
+
+
+def test_numbers_are_cast_without_a_detour_by_text(spark):
+    from tradelens.operators import clean as C
+    rows = spark.sql("select stack(6, 5.9D, double('NaN'), 3e9D, -5.9D, null, double('Infinity')) as d")
+    both = C.cast_numeric_or_reject(rows.withColumn("b", F.col("d")), {"d": "int", "b": "bigint"})
+    assert sorted(map(tuple, both.collect())) == [(-5, -5), (5, 5)]
+    assert "as string" not in both._jdf.queryExecution().optimizedPlan().toString().lower()
+    longs = spark.sql("select stack(3, 7L, 3000000000L, -3000000000L) as d")
+    assert [r.d for r in C.cast_numeric_or_reject(longs, {"d": "int"}).collect()] == [7]
+    assert C.cast_numeric_or_reject(longs, {"d": "bigint"}).count() == 3
